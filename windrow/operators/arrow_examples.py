@@ -56,6 +56,8 @@ def _numbers(scalar: pa.ListScalar) -> np.ndarray:
 
 
 def _windows(flat: np.ndarray, splits: np.ndarray, layout: Layout) -> Iterator[Chunk]:
+    if not len(splits):
+        return
     slots, d = layout.codes.shape
     vectors = flat.reshape(-1, d)
     views = np.lib.stride_tricks.sliding_window_view(vectors, slots, axis=0)[:-1].transpose(0, 2, 1)

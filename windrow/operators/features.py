@@ -101,7 +101,10 @@ def create_examples(
     published: bool = False,
 ) -> DataFrame:
     """``seq, start, features, label`` from token rows and a lookup; an unknown token is an error."""
-    rows = attach_vectors(tokens.select(*seq, pos, token), vocabulary, token, broadcast_bytes=broadcast_bytes)
+    placed = tokens.select(*seq, pos, token)
+    rows = attach_vectors(
+        placed, vocabulary, token, broadcast_bytes=broadcast_bytes, vector_width=vector_width
+    )
     compact = compact_from_rows(rows, width, vector_width, seq, pos, "embedding", block_rows)
     return examples_of(compact, width, vector_width, seq, published)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def total_duration(epochs: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
     """``groups, total_ms``: from the start of the first epoch to the end of the last."""
     return epochs.groupBy(*groups).agg(
-        (F.unix_millis(F.max("ended")) - F.unix_millis(F.min("started"))).alias("total_ms")
+        F.timestamp_diff("MILLISECOND", F.min("started"), F.max("ended")).alias("total_ms")
     )
 
 

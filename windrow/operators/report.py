@@ -60,7 +60,7 @@ def epoch_lines(epochs: DataFrame) -> DataFrame:
     """``section, item, n, line`` of each epoch."""
     grad = {k: F.col(f"grad.{k}") for k in ("norm", "min", "max", "mean", "std")}
     both = F.concat(F.format_string(LOSS, grad["min"]), F.lit(" / "), F.format_string(LOSS, grad["max"]))
-    duration = F.unix_millis("ended") - F.unix_millis("started")
+    duration = F.timestamp_diff("MILLISECOND", "started", "ended")
     lines = [
         F.lit(""),
         F.concat(F.lit("Epoch "), F.col("epoch").cast("string"), F.lit(":")),
@@ -82,9 +82,9 @@ def epoch_lines(epochs: DataFrame) -> DataFrame:
 def log_lines(epochs: DataFrame) -> DataFrame:
     """``epoch, line``: one log line an epoch, absent figures shown as such."""
     figures = [
-        ("Training Loss", "%.6f", "loss"),
+        ("Training Loss", LOSS, "loss"),
         ("Training Accuracy", PERCENT, "accuracy"),
-        ("Validation Loss", "%.6f", "val_loss"),
+        ("Validation Loss", LOSS, "val_loss"),
         ("Validation Accuracy", PERCENT, "val_accuracy"),
         ("Learning Rate", "%.6f", "learning_rate"),
     ]
@@ -92,7 +92,7 @@ def log_lines(epochs: DataFrame) -> DataFrame:
         F.concat(F.lit(f"{name}: "), F.coalesce(_format(form, F.col(c)), F.lit(ABSENT)))
         for name, form, c in figures
     ]
-    duration = (F.unix_millis("ended") - F.unix_millis("started")).cast("string")
+    duration = F.timestamp_diff("MILLISECOND", "started", "ended").cast("string")
     head = F.concat(F.lit("Epoch "), F.col("epoch").cast("string"), F.lit(" Summary"))
     line = F.concat_ws("; ", head, *texts, F.concat(F.lit("Duration: "), duration, F.lit("ms")))
     return epochs.select("epoch", line.alias("line"))

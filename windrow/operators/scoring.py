@@ -47,7 +47,7 @@ def predict(
 
 
 def evaluate(
-    frame: DataFrame, layout: Layout, handle, sizes: Sequence[int], threshold: float = HIT_THRESHOLD
+    frame: DataFrame, layout: Layout, handle: P.Handle, sizes: Sequence[int], threshold: float = HIT_THRESHOLD
 ) -> dict[int, tuple[float, float]]:
     """Loss and hit rate of each split over all its rows, in one job; two rows reach the driver."""
     widths = list(sizes)

@@ -10,9 +10,9 @@ from windrow.operators.checks import vector_table_check, vector_width
 from windrow.operators.features import compact_from_rows
 from windrow.operators.lookup import attach_vectors, last_vectors
 from windrow.operators.metrics import run_metrics
-from windrow.operators.partitions import rows_per_partition
 from windrow.operators.positions import dense_positions
 from windrow.operators.report import log_lines, report_lines
+from windrow.operators.windows import BLOCK_ROWS
 from windrow.operators.training import Settings, TrainingRun, blocks_for_training, train
 from windrow.sinks.model_store import write_model
 from windrow.sinks.report_text import write_report
@@ -42,12 +42,15 @@ def run_job(
     width = vector_width(vectors, FILE_ORDER).first()["width"]
     lookup = last_vectors(vectors, FILE_ORDER)
     tokens = dense_positions(vectors.drop("embedding"), FILE_ORDER, span=ROW_SPAN).select("pos", "token")
-    compact = compact_from_rows(attach_vectors(tokens, lookup), settings.window, width)
+    # Blocks are the unit that training spreads: small inputs need shorter ones to reach all cores.
+    cores = spark.sparkContext.defaultParallelism
+    block_rows = min(BLOCK_ROWS, max(settings.window, found["n_vectors"] // (4 * cores)))
+    placed = attach_vectors(tokens, lookup, vector_width=width)
+    compact = compact_from_rows(placed, settings.window, width, block_rows=block_rows)
     data = blocks_for_training(compact, settings, width)
     try:
         run = train(data, settings)
-        partitions = rows_per_partition(data.frame)
-        summary = run_metrics(run.epoch_metrics, run.batch_metrics, run.parameters, partitions)
+        summary = run_metrics(run.epoch_metrics, run.batch_metrics, run.parameters, data.rows_per_partition())
         report = report_lines(run.epoch_metrics, summary)
         report_path = write_report(report, metrics_folder)
         model_path = write_model(run.parameters, model_folder)
