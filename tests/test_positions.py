@@ -15,11 +15,8 @@ def expected(rows):
     return out
 
 
-@pytest.mark.parametrize("bits", [1, 3, 16])
-@pytest.mark.parametrize("spread", [400, 10**6, 2**40])
+@pytest.mark.parametrize("bits, spread", [(3, 400), (6, 10**6), (16, 400), (16, 10**6), (16, 2**40)])
 def test_running_total_per_sequence(spark, bits, spread):
-    if bits == 1 and spread > 400:
-        pytest.skip("one level per bit")
     rng = random.Random(bits * spread)
     # One sequence holds most rows.
     rows = {(rng.choice("aaaaaabc"), rng.randrange(-spread, spread)): rng.randrange(5) for _ in range(300)}

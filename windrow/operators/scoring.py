@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from windrow.functions import vectors as V
 from windrow.operators import parameters as P
 from windrow.operators.arrow_examples import Layout, chunks, matrix
-from windrow.operators.network import forward
+from windrow.operators.network import Network
 from windrow.session import ship_package
 
 # Fixed value: a prediction whose cosine with its label is above this counts as a hit.
@@ -32,10 +32,10 @@ def predict(
     handle = P.deliver(parameters, sizes, broadcast_bytes)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        theta = None
+        network = None
         for batch in batches:
-            theta = handle.load().theta if theta is None else theta
-            out = forward(theta, sizes, matrix(batch.column("_fitted"), sizes[0]))
+            network = network or Network(sizes, handle.load().theta)
+            out = network.forward(matrix(batch.column("_fitted"), sizes[0]))
             offsets = pa.array(np.arange(len(out) + 1, dtype=np.int32) * sizes[-1])
             preds = pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
             kept = [c for n, c in zip(batch.schema.names, batch.columns) if n != "_fitted"]
@@ -54,10 +54,10 @@ def evaluate(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
-        theta = None
+        network = None
         for features, label, splits in chunks(batches, layout):
-            theta = handle.load().theta if theta is None else theta
-            out = forward(theta, widths, features)
+            network = network or Network(widths, handle.load().theta)
+            out = network.forward(features)
             error = np.mean((out - label) ** 2, axis=1)
             lengths = np.linalg.norm(out, axis=1) * np.linalg.norm(label, axis=1)
             dots = np.einsum("ij,ij->i", out, label)

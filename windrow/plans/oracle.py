@@ -116,20 +116,25 @@ def duration(ms: str) -> str:
         ELSE ({ms} // 1000) || 's' END"""
 
 
+def fixed(value: str, digits: int, unit: str = "") -> str:
+    """A number with fixed decimals; halves are rounded up, as the report does."""
+    return f"printf('%.{digits}f{unit}', round({value}, {digits}))"
+
+
 _LINES = [
     "''",
     "'Epoch ' || epoch || ':'",
-    "'  Loss: ' || printf('%.6f', loss)",
-    "'  Accuracy: ' || printf('%.2f%%', accuracy)",
-    "'  Validation Loss: ' || CASE WHEN val_loss IS NOT NULL THEN printf('%.6f', val_loss) END",
-    "'  Validation Accuracy: ' || CASE WHEN val_accuracy IS NOT NULL THEN printf('%.2f%%', val_accuracy) END",
+    f"'  Loss: ' || {fixed('loss', 6)}",
+    f"'  Accuracy: ' || {fixed('accuracy', 2, '%%')}",
+    f"'  Validation Loss: ' || CASE WHEN val_loss IS NOT NULL THEN {fixed('val_loss', 6)} END",
+    f"'  Validation Accuracy: ' || CASE WHEN val_accuracy IS NOT NULL THEN {fixed('val_accuracy', 2, '%%')} END",
     "'  Learning Rate: ' || printf('%.6e', learning_rate)",
     f"'  Duration: ' || {duration('ms')}",
     "'  Gradient Statistics:'",
-    "'    Norm: ' || printf('%.6f', g_norm)",
-    "'    Min/Max: ' || printf('%.6f', g_min) || ' / ' || printf('%.6f', g_max)",
-    "'    Mean: ' || printf('%.6f', g_mean)",
-    "'    Std Dev: ' || printf('%.6f', g_std)",
+    f"'    Norm: ' || {fixed('g_norm', 6)}",
+    f"'    Min/Max: ' || {fixed('g_min', 6)} || ' / ' || {fixed('g_max', 6)}",
+    f"'    Mean: ' || {fixed('g_mean', 6)}",
+    f"'    Std Dev: ' || {fixed('g_std', 6)}",
 ]
 REPORT = f"""
     WITH e AS ({DAY_EPOCHS})
@@ -266,12 +271,12 @@ ORACLE: dict[str, str] = {
         FROM documents GROUP BY lang""",
     "report_lines": REPORT,
     "log_lines": f"""
-        SELECT epoch, 'Epoch ' || epoch || ' Summary; Training Loss: ' || printf('%.6f', loss)
-            || '; Training Accuracy: ' || printf('%.2f%%', accuracy)
-            || '; Validation Loss: ' || CASE WHEN val_loss IS NULL THEN 'N/A' ELSE printf('%.6f', val_loss) END
+        SELECT epoch, 'Epoch ' || epoch || ' Summary; Training Loss: ' || {fixed('loss', 6)}
+            || '; Training Accuracy: ' || {fixed('accuracy', 2, '%%')}
+            || '; Validation Loss: ' || CASE WHEN val_loss IS NULL THEN 'N/A' ELSE {fixed('val_loss', 6)} END
             || '; Validation Accuracy: '
-            || CASE WHEN val_accuracy IS NULL THEN 'N/A' ELSE printf('%.2f%%', val_accuracy) END
-            || '; Learning Rate: ' || printf('%.6f', learning_rate)
+            || CASE WHEN val_accuracy IS NULL THEN 'N/A' ELSE {fixed('val_accuracy', 2, '%%')} END
+            || '; Learning Rate: ' || {fixed('learning_rate', 6)}
             || '; Duration: ' || ms || 'ms' AS line
         FROM ({DAY_EPOCHS})""",
     "duration_texts": f"""
