@@ -89,7 +89,8 @@ def test_attach_vectors(spark, limit):
     want = df.withColumn("want", hash_vector("token", 4))
     joined = found.join(want, ["pos", "token"])
     assert joined.where("embedding = want").count() == 6000 == found.count()
-    assert [r["token"] for r in lookup.hot_tokens(df, share=4).collect()] == ["hot"]
+    assert lookup.hot_tokens(df, share=4) == ["hot"]
+    assert lookup.hot_tokens(df, share=2) == lookup.hot_tokens(df.limit(0)) == []
 
 
 @pytest.mark.parametrize("limit", [lookup.BROADCAST_BYTES, 0])
@@ -108,12 +109,14 @@ def test_vocabulary_bytes_with_known_width(spark):
     assert lookup.vocabulary_bytes(vocabulary) == lookup.vocabulary_bytes(vocabulary, vector_width=4) == 195
 
 
-def test_create_examples(spark):
+@pytest.mark.parametrize("limit", [lookup.BROADCAST_BYTES, 0])
+def test_create_examples(spark, limit):
     tokens = "The quick brown fox The jumps".split()
     df = spark.createDataFrame(list(enumerate(tokens)), "pos long, token string")
     vocabulary = lookup.hash_vocabulary(df, 4)
     vectors = {r["token"]: np.array(r["embedding"]) for r in vocabulary.collect()}
-    found = features.create_examples(df, vocabulary, 2, 4).orderBy("start").collect()
+    rows = features.create_examples(df, vocabulary, 2, 4, block_rows=2, broadcast_bytes=limit)
+    found = rows.orderBy("start").collect()
     assert len(found) == 4
     for r in found:
         i = r["start"]
@@ -123,6 +126,15 @@ def test_create_examples(spark):
         assert r["label"] == pytest.approx(vectors[tokens[i + 2]])
 
 
+def test_only_tokens_are_shuffled_with_a_small_lookup(spark):
+    df = spark.range(100).select(F.col("id").alias("pos"), (F.col("id") % 7).cast("string").alias("token"))
+    vocabulary = lookup.hash_vocabulary(df, 4)
+    plan = features.compact_from_lookup(df, vocabulary, 2, 4)._jdf.queryExecution().executedPlan().toString()
+    main = plan.split("BroadcastExchange")[0]
+    assert main.count("Exchange hashpartitioning(_block") == 1
+    assert main.index("collect_list") < main.index("BroadcastHashJoin") < main.index("Exchange hashpartitioning")
+
+
 def test_examples_do_not_depend_on_the_cutting(spark, monkeypatch):
     df = spark.createDataFrame([(1, [f"t{i}" for i in range(40)])], "seq int, tokens array<string>")
     whole = features.compact_from_tokens(df, 3, 4, seq=["seq"])

@@ -9,8 +9,14 @@ from pyspark.sql import functions as F
 
 from windrow.functions import vectors as V
 from windrow.functions.hashing import hash_vector
-from windrow.operators.lookup import BROADCAST_BYTES, attach_vectors
-from windrow.operators.windows import BLOCK_ROWS, blocks_from_arrays, blocks_from_rows
+from windrow.operators.lookup import BROADCAST_BYTES, attach_broadcast, attach_shuffled, fits_broadcast
+from windrow.operators.windows import (
+    BLOCK_ROWS,
+    assign_blocks,
+    blocks_from_arrays,
+    blocks_from_rows,
+    gather_blocks,
+)
 
 # Doubles that one row may hold while windows are cut from it.
 ROW_DOUBLES = 1 << 20
@@ -88,6 +94,31 @@ def compact_from_tokens(
     return vector_blocks(made, vector_width, seq)
 
 
+def compact_from_lookup(
+    tokens: DataFrame,
+    vocabulary: DataFrame,
+    width: int,
+    vector_width: int,
+    seq: Sequence[str] = (),
+    pos: str = "pos",
+    token: str = "token",
+    block_rows: int = BLOCK_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Vector blocks from token rows and a lookup; an unknown token is an error.
+
+    With a lookup that can be broadcast, tokens are spread by block first and get their vectors
+    there, so that only tokens are shuffled. A larger lookup is joined before, and vectors move.
+    """
+    placed = assign_blocks(tokens.select(*seq, pos, token), width, pos, block_rows)
+    if fits_broadcast(vocabulary, broadcast_bytes, vector_width, token):
+        rows = attach_broadcast(placed.repartition(*seq, "_block"), vocabulary, token)
+    else:
+        rows = attach_shuffled(placed, vocabulary, token)
+    blocks = gather_blocks(rows, width, "embedding", seq, pos, block_rows)
+    return vector_blocks(blocks, vector_width, seq)
+
+
 def create_examples(
     tokens: DataFrame,
     vocabulary: DataFrame,
@@ -100,12 +131,10 @@ def create_examples(
     broadcast_bytes: int = BROADCAST_BYTES,
     published: bool = False,
 ) -> DataFrame:
-    """``seq, start, features, label`` from token rows and a lookup; an unknown token is an error."""
-    placed = tokens.select(*seq, pos, token)
-    rows = attach_vectors(
-        placed, vocabulary, token, broadcast_bytes=broadcast_bytes, vector_width=vector_width
+    """``seq, start, features, label`` from token rows and a lookup."""
+    compact = compact_from_lookup(
+        tokens, vocabulary, width, vector_width, seq, pos, token, block_rows, broadcast_bytes
     )
-    compact = compact_from_rows(rows, width, vector_width, seq, pos, "embedding", block_rows)
     return examples_of(compact, width, vector_width, seq, published)
 
 

@@ -42,21 +42,37 @@ def blocks_from_rows(
 ) -> DataFrame:
     """``seq, block_start, items`` from one row per item. ``pos`` counts 0, 1, 2, … in each sequence.
 
-    One shuffle, by sequence and block. The first ``width`` items of a block go to the one before as
-    well, which is why blocks are at least ``width`` long.
+    One shuffle, by sequence and block.
+    """
+    return gather_blocks(assign_blocks(df, width, pos, block_rows), width, value, seq, pos, block_rows)
+
+
+def assign_blocks(df: DataFrame, width: int, pos: str = "pos", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Adds ``_block``; the first ``width`` rows of a block come out for the one before as well.
+
+    That is why blocks are at least ``width`` long.
     """
     _check(width, block_rows)
     length = max(width, block_rows)
     block = F.expr(f"`{pos}` div {length}")
     lent = (F.col(pos) % length < width) & (F.col(pos) >= length)
+    return df.withColumn("_block", F.explode(F.when(lent, F.array(block - 1, block)).otherwise(F.array(block))))
+
+
+def gather_blocks(
+    assigned: DataFrame,
+    width: int,
+    value: str,
+    seq: Sequence[str] = (),
+    pos: str = "pos",
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``seq, block_start, items`` of assigned rows. No shuffle if they are already spread by block."""
+    length = max(width, block_rows)
+    item = F.struct(F.col(pos).alias("p"), F.col(value).alias("v"))
     return (
-        df.select(
-            *seq,
-            F.explode(F.when(lent, F.array(block - 1, block)).otherwise(F.array(block))).alias("_block"),
-            F.struct(F.col(pos).alias("p"), F.col(value).alias("v")).alias("_item"),
-        )
-        .groupBy(*seq, "_block")
-        .agg(F.sort_array(F.collect_list("_item")).alias("_items"))
+        assigned.groupBy(*seq, "_block")
+        .agg(F.sort_array(F.collect_list(item)).alias("_items"))
         .select(
             *seq,
             (F.col("_block") * length).alias("block_start"),

@@ -6,14 +6,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from windrow.operators.checks import vector_table_check, vector_width
-from windrow.operators.features import compact_from_rows
-from windrow.operators.lookup import attach_vectors, last_vectors
+from windrow.operators.checks import vector_table_check
+from windrow.operators.features import compact_from_lookup
+from windrow.operators.lookup import last_vectors
 from windrow.operators.metrics import run_metrics
 from windrow.operators.positions import dense_positions
 from windrow.operators.report import log_lines, report_lines
-from windrow.operators.windows import BLOCK_ROWS
 from windrow.operators.training import Settings, TrainingRun, blocks_for_training, train
+from windrow.operators.windows import BLOCK_ROWS
 from windrow.sinks.model_store import write_model
 from windrow.sinks.report_text import write_report
 from windrow.sources.vector_text import FILE_ORDER, ROW_SPAN, read_vectors
@@ -39,14 +39,13 @@ def run_job(
     found = vector_table_check(vectors).first()
     if not found["valid"]:
         raise ValueError(f"vector file is empty or its vectors differ in width: {vectors_path}")
-    width = vector_width(vectors, FILE_ORDER).first()["width"]
+    width = found["min_width"]
     lookup = last_vectors(vectors, FILE_ORDER)
     tokens = dense_positions(vectors.drop("embedding"), FILE_ORDER, span=ROW_SPAN).select("pos", "token")
     # Blocks are the unit that training spreads: small inputs need shorter ones to reach all cores.
     cores = spark.sparkContext.defaultParallelism
     block_rows = min(BLOCK_ROWS, max(settings.window, found["n_vectors"] // (4 * cores)))
-    placed = attach_vectors(tokens, lookup, vector_width=width)
-    compact = compact_from_rows(placed, settings.window, width, block_rows=block_rows)
+    compact = compact_from_lookup(tokens, lookup, settings.window, width, block_rows=block_rows)
     data = blocks_for_training(compact, settings, width)
     try:
         run = train(data, settings)
