@@ -94,6 +94,38 @@ GOOD_LINE = (
     r" AND TRY_CAST(regexp_extract(line, '^([^\t]*)\t', 1) AS INT) IS NOT NULL"
 )
 
+
+
+def made_weights(layer: int, rows: int, cols: int) -> str:
+    """The weights of each unit as a list, in a list over units."""
+    value = unit(f"'7:{layer}:weight:' || (i * {cols} + j)::VARCHAR")
+    return (
+        f"(SELECT list_transform(range({cols}), lambda j: list_transform(range({rows}), "
+        f"lambda i: ({value} - 0.5::DOUBLE) * 0.2::DOUBLE)))"
+    )
+
+
+def made_biases(layer: int, cols: int) -> str:
+    value = unit(f"'7:{layer}:bias:' || j::VARCHAR")
+    return f"(SELECT list_transform(range({cols}), lambda j: ({value} - 0.5::DOUBLE) * 0.2::DOUBLE))"
+
+
+def dense(x: str, layer: int, cols: int) -> str:
+    return f"list_transform(range({cols}), lambda u: list_inner_product({x}, w{layer}[u + 1]) + b{layer}[u + 1])"
+
+
+def relu(x: str) -> str:
+    return f"list_transform({x}, lambda v: greatest(v, 0::DOUBLE))"
+
+
+MADE_PREDICTIONS = f"""
+    WITH model AS (SELECT {made_weights(0, 256, 64)} AS w0, {made_biases(0, 64)} AS b0,
+        {made_weights(1, 64, 64)} AS w1, {made_biases(1, 64)} AS b1,
+        {made_weights(2, 64, 64)} AS w2, {made_biases(2, 64)} AS b2),
+    first AS (SELECT start, label, {relu(dense("features", 0, 64))} AS x FROM ({EMBEDDING_EXAMPLES}), model),
+    second AS (SELECT start, label, {relu(dense("x", 1, 64))} AS x FROM first, model)
+    SELECT start, label, {dense("x", 2, 64)} AS pred FROM second, model"""
+
 DAY_EPOCHS = """
     SELECT dayofmonth(ts)::INT AS epoch,
         avg(value) AS loss,
@@ -282,6 +314,18 @@ ORACLE: dict[str, str] = {
     "duration_texts": f"""
         SELECT event_id, {duration("ms")} AS duration
         FROM (SELECT event_id, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 1000 AS ms FROM events)""",
+    "scored_predictions": f"SELECT start, {as_text('pred')} AS pred FROM ({MADE_PREDICTIONS})",
+    "evaluated_splits": f"""
+        SELECT split, count(*) AS n_rows, round(avg(e), 6) AS loss,
+            round(100 * avg((c > 0.1)::INT::DOUBLE), 6) AS accuracy
+        FROM (SELECT {split_index("start", (0.8,), 42)} AS split, {COSINE} AS c,
+                list_avg(list_transform(list_zip(pred, label), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS e
+            FROM ({MADE_PREDICTIONS})) GROUP BY split""",
+    "trained_rows": f"""
+        SELECT epoch::INT AS epoch, count(*) AS n_rows
+        FROM (SELECT {split_index("doc_id || ':' || start", (0.8,), 42)} AS split FROM ({DOCUMENT_WINDOWS})),
+            range(1, 3) e(epoch)
+        WHERE split = 0 GROUP BY epoch""",
     "model_statistics": """
         WITH w AS (SELECT max(len(embedding)) AS d FROM embeddings)
         SELECT (4 * d * 128 + 128 + 128 * 128 + 128 + 128 * d + d)::BIGINT AS n_parameters,

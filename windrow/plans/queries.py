@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.functions import vectors as V
+from windrow.functions.hashing import hash_unit
 from windrow.functions.text import duration_text, words
 from windrow.operators import checks, features, lookup, metrics, partitions, report, scoring, split, training
-from windrow.operators.parameters import read_parameters
+from windrow.operators import parameters as P
 from windrow.operators.positions import dense_positions, running_total
 from windrow.operators.windows import windows_from_arrays, windows_from_rows
 from windrow.session import run_folder
@@ -462,6 +463,49 @@ def train_on_documents(spark: SparkSession, sf_dir: str, epochs: int = 2) -> tra
     return run
 
 
+MADE_SIZES = [WINDOW * VECTOR, VECTOR, VECTOR, VECTOR]
+
+
+def made_model(spark: SparkSession) -> DataFrame:
+    """A parameter table whose values depend on their place alone, so that SQL can make it too."""
+    table = None
+    for t in P.tensors(MADE_SIZES):
+        place = F.sequence(F.lit(0), F.lit(t.rows * t.cols - 1))
+        values = F.transform(place, lambda k: (hash_unit(7, F.lit(t.layer), F.lit(t.kind), k) - 0.5) * 0.2)
+        row = spark.range(1).select(
+            F.lit("value").alias("state"),
+            F.lit(t.layer).alias("layer"),
+            F.lit(t.kind).alias("kind"),
+            F.lit(t.rows).alias("rows"),
+            F.lit(t.cols).alias("cols"),
+            F.lit(0).alias("slice_id"),
+            values.alias("vals"),
+        )
+        table = row if table is None else table.unionByName(row)
+    return table
+
+
+def scored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scoring.predict(embedding_example_rows(spark, sf_dir), made_model(spark))
+    return found.select("start", as_text("pred").alias("pred"))
+
+
+def evaluated_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loss and hit rate of a model over the training and the validation part, as after an epoch."""
+    settings = training.Settings(WINDOW, VECTOR, hidden=VECTOR)
+    compact = embedding_compact(spark, sf_dir, block_rows=32)
+    data = training.blocks_for_training(compact, settings, persist=False)
+    handle = P.deliver(made_model(spark), MADE_SIZES)
+    found = scoring.evaluate(data.frame, data.layout, handle, MADE_SIZES, threshold=0.1)
+    return found.select("split", "n_rows", six(F.col("loss")).alias("loss"), six(F.col("accuracy")).alias("accuracy"))
+
+
+def trained_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the tasks of each epoch trained on."""
+    found = train_on_documents(spark, sf_dir).batch_metrics
+    return found.groupBy("epoch").agg(F.sum("rows").alias("n_rows"))
+
+
 def epoch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_on_documents(spark, sf_dir).epoch_metrics
 
@@ -487,7 +531,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _train_on_embeddings(spark, sf_dir, epochs=1)
-    found = metrics.model_statistics(read_parameters(spark, run.model_path))
+    found = metrics.model_statistics(P.read_parameters(spark, run.model_path))
     return found.select(
         F.col("n_parameters").cast("bigint").alias("n_parameters"),
         F.array_join(F.col("layer_sizes").cast("array<string>"), ",").alias("layer_sizes"),
@@ -545,6 +589,9 @@ QUERIES: dict[str, Query] = {
         batch_metrics,
         train_on_rows,
         predictions,
+        scored_predictions,
+        evaluated_splits,
+        trained_rows,
         model_statistics,
     )
 }
