@@ -1,20 +1,27 @@
 import random
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from windrow.functions.text import duration_text
-from windrow.operators import metrics, report, training
-from windrow.operators.parameters import read_parameters, write_initial
+from windrow.operators import metrics, report
+from windrow.operators.parameters import State
 from windrow.operators.training import EPOCH_SCHEMA, Settings
 from windrow.plans.job import run_job
-from windrow.session import run_folder, shared_folder
+from windrow.session import shared_folder
 from windrow.sinks import model_store, report_text
 
 BATCHES = "epoch int, worker int, steps long, rows long, loss double, ms long"
 
 
+def started_model(spark, sizes):
+    """The parameter table of a model before its first step."""
+    table = pa.Table.from_batches(State.initial(sizes, 1).slices(sizes, -1, 1))
+    return spark.createDataFrame(table).drop("worker", "n")
+
+
 def at(second):
     return datetime(2024, 1, 1, 0, 0, second)
 
@@ -60,9 +67,7 @@ def test_batch_figures(spark, batches):
 
 
 def test_model_statistics(spark):
-    path = run_folder(spark, "test")
-    write_initial(spark, path, [512, 256, 256, 128], 1)
-    row = metrics.model_statistics(read_parameters(spark, path)).first()
+    row = metrics.model_statistics(started_model(spark, [512, 256, 256, 128])).first()
     assert (row["n_parameters"], row["layer_sizes"]) == (230016, [512, 256, 256, 128])
 
 
@@ -71,10 +76,9 @@ def in_order(lines):
 
 
 def test_report(spark, epochs, batches):
-    path = run_folder(spark, "test")
-    write_initial(spark, path, [8, 4, 4, 2], 1)
+    model = started_model(spark, [8, 4, 4, 2])
     counts = spark.createDataFrame([(0, 3), (1, 1)], "partition int, cnt long")
-    summary = metrics.run_metrics(epochs.where("epoch < 3"), batches, read_parameters(spark, path), counts)
+    summary = metrics.run_metrics(epochs.where("epoch < 3"), batches, model, counts)
     lines = in_order(report.report_lines(epochs.where("epoch < 3"), summary, generated=F.lit("now")))
     assert lines == """\
 === Training Metrics Report ===
@@ -141,6 +145,17 @@ def test_log_lines(epochs):
     )
 
 
+def test_batch_and_run_log_lines(spark, epochs, batches):
+    lines = [r["line"] for r in report.batch_log_lines(batches).orderBy("worker").collect()]
+    assert lines[1] == "Epoch 1, worker 1; Steps: 1; Rows: 10; Loss: 0.500000; Time: 90ms"
+    counts = spark.createDataFrame([(0, 0)], "partition int, cnt long")
+    summary = metrics.run_metrics(epochs, batches, started_model(spark, [8, 4, 4, 2]), counts)
+    assert report.run_log_lines(summary).first()["line"] == (
+        "Training Complete; Total Duration: 11000ms; Average Batch Time: 40.00ms; Peak Batch Time: 90ms; "
+        "Total Parameters: 66; Batches Processed: 3; Partition Skew: N/A"
+    )
+
+
 def test_report_file(spark, epochs, tmp_path):
     lines = report.epoch_lines(epochs)
     path = report_text.write_report(lines, str(tmp_path / "new"), at=datetime(2024, 11, 3, 0, 8, 4))

@@ -57,10 +57,17 @@ def test_needs_an_integer_key(spark):
         dense_positions(spark.createDataFrame([("a",)], "key string"), "key")
 
 
+def test_a_wrong_span_costs_balance_only(spark):
+    df = spark.range(0, 3 * 2**20, 2**10).withColumnRenamed("id", "key")
+    found = dense_positions(df, "key", span=(0, 2**10))
+    assert found.where(F.col("pos") * 2**10 != F.col("key")).count() == 0
+
+
 def test_no_group_grows_with_the_sequence(spark):
-    """Every window of the plan is partitioned by a key range, never by the sequence alone."""
-    df = spark.range(10).withColumn("seq", F.lit(1))
+    """Rows are never grouped by their sequence alone, only totals of key ranges are."""
+    df = spark.range(10).withColumn("seq", F.lit(1)).withColumn("payload", F.rand())
     plan = dense_positions(df, "id", ["seq"], span=(0, 2**40))._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert len(windows) == 3
-    assert all("_range" in line for line in windows)
+    assert sum("_range" in line for line in windows) == 2
+    assert "_range" in windows[0]

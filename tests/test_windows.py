@@ -30,13 +30,24 @@ def test_five_tokens(spark):
 
 @pytest.mark.parametrize("width", [1, 4])
 @pytest.mark.parametrize("length", [1, 4, 5, 50])
-@pytest.mark.parametrize("n", [0, 1, 4, 5, 120])
-def test_both_forms_match_brute_force(spark, n, length, width):
-    tokens = [f"t{random.Random(n * 31 + i).randrange(9)}" for i in range(n)]
-    want = brute(tokens, width)
-    assert as_set(windows_from_rows(token_rows(spark, tokens), width, "token", block_rows=length)) == want
-    arrays = spark.createDataFrame([(tokens,)], "tokens array<string>")
-    assert as_set(windows_from_arrays(arrays, width, "tokens", block_rows=length)) == want
+def test_both_forms_match_brute_force(spark, length, width):
+    lengths = [0, 1, width, width + 1, 5, 120]
+    tokens = {s: [f"t{random.Random(s * 31 + i).randrange(9)}" for i in range(n)] for s, n in enumerate(lengths)}
+    want = {(s, *row) for s, own in tokens.items() for row in brute(own, width)}
+    rows = [(s, i, t) for s, own in tokens.items() for i, t in enumerate(own)]
+    by_row = spark.createDataFrame(rows, "seq int, pos long, token string")
+    by_array = spark.createDataFrame(list(tokens.items()), "seq int, tokens array<string>")
+    for found in (
+        windows_from_rows(by_row, width, "token", ["seq"], block_rows=length),
+        windows_from_arrays(by_array, width, "tokens", ["seq"], block_rows=length),
+    ):
+        got = [(r["seq"], r["start"], tuple(r["ctx"]), r["target"]) for r in found.collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_empty_input(spark):
+    empty = spark.createDataFrame([], "pos long, token string")
+    assert windows_from_rows(empty, 2, "token").collect() == []
 
 
 def test_sequences_do_not_mix(spark):

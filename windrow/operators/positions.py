@@ -88,22 +88,24 @@ def _levels(width: int, bits: int) -> int:
 
 
 def _ranged(df: DataFrame, seq: list[str], name: str, levels: int, bits: int) -> DataFrame:
+    if levels == 1:
+        return df.withColumn(name, _sum_before(seq, "_key"))
     ranged = df.withColumn("_range", F.shiftright("_key", bits))
-    out = ranged.withColumn(name, _sum_before([*seq, "_range"], "_key"))
-    if levels > 1:
-        totals = (
-            ranged.groupBy(*seq, "_range")
-            .agg(F.sum("_w").alias("_w"))
-            .withColumnRenamed("_range", "_key")
-        )
-        above = _ranged(totals, seq, "_above", levels - 1, bits).select(
-            *seq, F.col("_key").alias("_range"), F.col("_above").alias("_upper")
-        )
-        out = out.join(above, [*seq, "_range"], "left").withColumn(name, F.col(name) + F.col("_upper"))
-    return out.drop("_range", "_upper")
+    totals = (
+        ranged.groupBy(*seq, "_range").agg(F.sum("_w").alias("_w")).withColumnRenamed("_range", "_key")
+    )
+    above = _ranged(totals, seq, "_above", levels - 1, bits).select(
+        *seq, F.col("_key").alias("_range"), F.col("_above").alias("_upper")
+    )
+    return (
+        ranged.withColumn(name, _sum_before([*seq, "_range"], "_key"))
+        .join(above, [*seq, "_range"], "left")
+        .withColumn(name, F.col(name) + F.col("_upper"))
+        .drop("_range", "_upper")
+    )
 
 
 def _sum_before(groups: list[str], key: str) -> Column:
-    window = Window.partitionBy(*groups).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    window = Window.partitionBy(*groups or [F.lit(0)]).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     total = F.coalesce(F.sum("_w").over(window), F.lit(0).cast("bigint"))
     return F.when(F.col(key).isNotNull(), total)

@@ -81,21 +81,44 @@ def epoch_lines(epochs: DataFrame) -> DataFrame:
 
 def log_lines(epochs: DataFrame) -> DataFrame:
     """``epoch, line``: one log line an epoch, absent figures shown as such."""
+    head = F.concat(F.lit("Epoch "), F.col("epoch").cast("string"), F.lit(" Summary"))
     figures = [
         ("Training Loss", LOSS, "loss"),
         ("Training Accuracy", PERCENT, "accuracy"),
         ("Validation Loss", LOSS, "val_loss"),
         ("Validation Accuracy", PERCENT, "val_accuracy"),
         ("Learning Rate", "%.6f", "learning_rate"),
+        ("Duration", "%dms", F.timestamp_diff("MILLISECOND", "started", "ended")),
+    ]
+    return epochs.select("epoch", _log_line(head, figures))
+
+
+def batch_log_lines(batches: DataFrame) -> DataFrame:
+    """``epoch, worker, line``: one log line a task of a round."""
+    head = F.format_string("Epoch %d, worker %d", "epoch", "worker")
+    figures = [("Steps", "%d", "steps"), ("Rows", "%d", "rows"), ("Loss", LOSS, "loss"), ("Time", "%dms", "ms")]
+    return batches.select("epoch", "worker", _log_line(head, figures))
+
+
+def run_log_lines(run: DataFrame) -> DataFrame:
+    """``line``: one log line for the whole run."""
+    figures = [
+        ("Total Duration", "%dms", "total_ms"),
+        ("Average Batch Time", "%.2fms", "ms_per_step"),
+        ("Peak Batch Time", "%dms", "peak_ms"),
+        ("Total Parameters", "%d", "n_parameters"),
+        ("Batches Processed", "%d", "n_steps"),
+        ("Partition Skew", PERCENT, "skew_pct"),
     ]
+    return run.select(_log_line(F.lit("Training Complete"), figures))
+
+
+def _log_line(head: Column, figures: list[tuple[str, str, Column | str]]) -> Column:
     texts = [
-        F.concat(F.lit(f"{name}: "), F.coalesce(_format(form, F.col(c)), F.lit(ABSENT)))
+        F.concat(F.lit(f"{name}: "), F.coalesce(_format(form, F.col(c) if isinstance(c, str) else c), F.lit(ABSENT)))
         for name, form, c in figures
     ]
-    duration = F.timestamp_diff("MILLISECOND", "started", "ended").cast("string")
-    head = F.concat(F.lit("Epoch "), F.col("epoch").cast("string"), F.lit(" Summary"))
-    line = F.concat_ws("; ", head, *texts, F.concat(F.lit("Duration: "), duration, F.lit("ms")))
-    return epochs.select("epoch", line.alias("line"))
+    return F.concat_ws("; ", head, *texts).alias("line")
 
 
 def _format(form: str, value: Column) -> Column:

@@ -10,6 +10,7 @@ from windrow.operators.checks import vector_table_check
 from windrow.operators.features import compact_from_lookup
 from windrow.operators.lookup import last_vectors
 from windrow.operators.metrics import run_metrics
+from windrow.operators.partitions import partitions_for
 from windrow.operators.positions import dense_positions
 from windrow.operators.report import log_lines, report_lines
 from windrow.operators.training import Settings, TrainingRun, blocks_for_training, train
@@ -42,11 +43,11 @@ def run_job(
     width = found["min_width"]
     lookup = last_vectors(vectors, FILE_ORDER)
     tokens = dense_positions(vectors.drop("embedding"), FILE_ORDER, span=ROW_SPAN).select("pos", "token")
-    # Blocks are the unit that training spreads: small inputs need shorter ones to reach all cores.
-    cores = spark.sparkContext.defaultParallelism
-    block_rows = min(BLOCK_ROWS, max(settings.window, found["n_vectors"] // (4 * cores)))
+    # Blocks are the unit that training spreads: short inputs need shorter ones to fill their workers.
+    workers = partitions_for(found["n_vectors"], spark.sparkContext.defaultParallelism)
+    block_rows = min(BLOCK_ROWS, max(settings.window, found["n_vectors"] // (4 * workers)))
     compact = compact_from_lookup(tokens, lookup, settings.window, width, block_rows=block_rows)
-    data = blocks_for_training(compact, settings, width)
+    data = blocks_for_training(compact, settings, width, workers=workers)
     try:
         run = train(data, settings)
         summary = run_metrics(run.epoch_metrics, run.batch_metrics, run.parameters, data.rows_per_partition())

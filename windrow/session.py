@@ -34,9 +34,10 @@ def run_folder(spark: SparkSession, name: str) -> str:
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, once per context, for functions that run in Python workers."""
     context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
     package = os.path.dirname(os.path.abspath(__file__))
+    if context.applicationId in _shipped or not os.path.isdir(package):
+        # Done before, or imported from an archive that was submitted with the application.
+        return
     parent, name = os.path.split(package)
     target = os.path.join(tempfile.mkdtemp(prefix="windrow-"), name)
     context.addPyFile(shutil.make_archive(target, "zip", parent, name))

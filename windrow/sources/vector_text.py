@@ -13,7 +13,9 @@ SPECIAL_NUMBER = r"^[\x00-\x20]*[+-]?(NaN|Infinity)[\x00-\x20]*\z"
 
 # Columns that put the lines of text files in order, and the range of the finest one.
 FILE_ORDER = ("file", "piece", "row")
-ROW_SPAN = (0, (1 << 33) - 1)
+ROW_SPAN = (0, (1 << 32) - 1)
+# monotonically_increasing_id counts the rows of a partition in its lower bits.
+ROW_BITS = 33
 
 
 def read_vectors(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
@@ -28,7 +30,7 @@ def read_vectors(spark: SparkSession, path: str, strict: bool = True) -> DataFra
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``file, piece, row, line`` of text files."""
-    row_in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_SPAN[1]))
+    row_in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("piece"),
