@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,9 @@ from windrow.sinks.report_text import write_report
 from windrow.sources.vector_text import FILE_ORDER, ROW_SPAN, read_vectors
 
 
+log = logging.getLogger(__name__)
+
+
 @dataclass
 class JobResult:
     run: TrainingRun
@@ -41,6 +45,8 @@ def run_job(
     if not found["valid"]:
         raise ValueError(f"vector file is empty or its vectors differ in width: {vectors_path}")
     width = found["min_width"]
+    if width != settings.vector:
+        log.warning("vectors are %d wide, not %d: examples are cut or filled with zeros", width, settings.vector)
     lookup = last_vectors(vectors, FILE_ORDER)
     tokens = dense_positions(vectors.drop("embedding"), FILE_ORDER, span=ROW_SPAN).select("pos", "token")
     # Blocks are the unit that training spreads: short inputs need shorter ones to fill their workers.
