@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from windrow.functions import vectors as V
 from windrow.functions.hashing import hash_unit, hash_vector
-from windrow.operators import features, lookup
+from windrow.operators import arrow_examples, features, lookup
 from windrow.operators.windows import blocks_from_arrays
 
 
@@ -141,8 +141,29 @@ def test_examples_do_not_depend_on_the_cutting(spark, monkeypatch):
     cut = features.compact_from_tokens(df, 3, 4, seq=["seq"], block_rows=5)
     want = sorted(map(tuple, features.examples_of(whole, 3, 4, ["seq"]).collect()))
     assert len(want) == 37
-    monkeypatch.setattr(features, "ROW_DOUBLES", 24)
     assert sorted(map(tuple, features.examples_of(cut, 3, 4, ["seq"]).collect())) == want
+    monkeypatch.setattr(features, "ROW_DOUBLES", 24)
+    for compact in (whole, cut):
+        assert sorted(map(tuple, features.examples_by_expression(compact, 3, 4, ["seq"]).collect())) == want
+
+
+def test_windows_are_cut_in_pieces(spark, monkeypatch):
+    vectors, codes = np.arange(40.0), arrow_examples.code_matrix(spark, 3, 4)
+    whole = list(arrow_examples.cut_windows(vectors, codes))
+    monkeypatch.setattr(arrow_examples, "CHUNK_DOUBLES", 24)
+    pieces = list(arrow_examples.cut_windows(vectors, codes))
+    assert [p[0] for p in pieces] == [0, 2, 4, 6] and [w[0] for w in whole] == [0]
+    for i in (1, 2):
+        assert np.array_equal(np.concatenate([p[i] for p in pieces]), whole[0][i])
+    assert list(arrow_examples.cut_windows(vectors[:12], codes)) == []
+
+
+def test_examples_keep_keys_of_any_type(spark):
+    df = spark.sql("select named_struct('a', 1) as s, 'x' as t, split('p q r', ' ') as tokens")
+    compact = features.compact_from_tokens(df, 1, 2, seq=["s", "t"])
+    found = features.examples_of(compact, 1, 2, ["s", "t"], published=True)
+    assert found.columns == ["s", "t", "start", "features", "label"]
+    assert sorted((r["s"]["a"], r["t"], r["start"]) for r in found.collect()) == [(1, "x", 0), (1, "x", 1)]
 
 
 def test_ragged_vectors_fail(spark):

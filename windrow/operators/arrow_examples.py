@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+from windrow.functions.vectors import position_codes
 
 # Doubles in one matrix of features that is cut from a block.
-CHUNK_DOUBLES = 1 << 22
+CHUNK_DOUBLES = 1 << 20
 
 Chunk = tuple[np.ndarray, np.ndarray, np.ndarray]
 
@@ -56,17 +59,52 @@ def _numbers(scalar: pa.ListScalar) -> np.ndarray:
 
 
 def _windows(flat: np.ndarray, splits: np.ndarray, layout: Layout) -> Iterator[Chunk]:
-    if not len(splits):
-        return
-    slots, d = layout.codes.shape
+    for low, features, labels in cut_windows(flat, layout.codes):
+        own = splits[low : low + len(features)]
+        yield _fit(features, layout.input_size), _fit(labels, layout.output_size), own
+
+
+def cut_windows(flat: np.ndarray, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The windows of a vector block in pieces: first place, features, labels.
+
+    Features are the context vectors, each plus the code of its slot, in slot order.
+    """
+    slots, d = codes.shape
     vectors = flat.reshape(-1, d)
-    views = np.lib.stride_tricks.sliding_window_view(vectors, slots, axis=0)[:-1].transpose(0, 2, 1)
+    n = len(vectors) - slots
+    if n <= 0:
+        return
+    views = np.lib.stride_tricks.sliding_window_view(vectors, slots, axis=0).transpose(0, 2, 1)
     step = max(1, CHUNK_DOUBLES // (slots * d))
-    for a in range(0, len(splits), step):
-        b = min(a + step, len(splits))
-        features = (views[a:b] + layout.codes).reshape(b - a, slots * d)
-        labels = vectors[a + slots : b + slots]
-        yield _fit(features, layout.input_size), _fit(labels, layout.output_size), splits[a:b]
+    for low in range(0, n, step):
+        high = min(low + step, n)
+        features = (views[low:high] + codes).reshape(high - low, slots * d)
+        yield low, features, vectors[low + slots : high + slots]
+
+
+def code_matrix(spark: SparkSession, slots: int, width: int, published: bool = False) -> np.ndarray:
+    """The position codes of a window's slots, one row each."""
+    rows = position_codes(spark, slots, width, published).orderBy("position").toArrow()
+    return matrix(rows.column("code").combine_chunks(), width)
+
+
+def list_array(rows: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))
+
+
+def write_windows(
+    batches: Iterator[pa.RecordBatch], seq: Sequence[str], codes: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """``seq, start, features, label`` of vector blocks, a batch per piece."""
+    for batch in batches:
+        keys = [batch.column(c) for c in seq]
+        for i, (flat, block_start) in enumerate(zip(batch.column("flat"), batch.column("block_start"))):
+            for low, features, labels in cut_windows(_numbers(flat), codes):
+                n = len(features)
+                start = pa.array(np.arange(n, dtype=np.int64) + (block_start.as_py() + low))
+                columns = [*(pa.repeat(k[i], n) for k in keys), start, list_array(features), list_array(labels)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*seq, "start", "features", "label"])
 
 
 def _fit(rows: np.ndarray, width: int) -> np.ndarray:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from windrow.functions import vectors as V
 from windrow.operators import parameters as P
-from windrow.operators.arrow_examples import Layout, chunks, matrix
+from windrow.operators.arrow_examples import Layout, chunks, list_array, matrix
 from windrow.operators.network import Network
 from windrow.session import ship_package
 
@@ -36,11 +36,9 @@ def predict(
         for batch in batches:
             network = network or Network(sizes, handle.load().theta)
             out = network.forward(matrix(batch.column("_fitted"), sizes[0]))
-            offsets = pa.array(np.arange(len(out) + 1, dtype=np.int32) * sizes[-1])
-            preds = pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
             kept = [c for n, c in zip(batch.schema.names, batch.columns) if n != "_fitted"]
             names = [n for n in batch.schema.names if n != "_fitted"]
-            yield pa.RecordBatch.from_arrays([*kept, preds], names=[*names, pred])
+            yield pa.RecordBatch.from_arrays([*kept, list_array(out)], names=[*names, pred])
 
     schema = examples.select("*", F.lit(None).cast("array<double>").alias(pred)).schema
     return examples.withColumn("_fitted", V.fit_width(features, sizes[0])).mapInArrow(score, schema)

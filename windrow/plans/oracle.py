@@ -184,6 +184,18 @@ def codes_of(per_slot: int) -> str:
         FROM embeddings"""
 
 
+DOCUMENT_EXAMPLES = f"""
+    WITH vocabulary AS (
+        SELECT token, {made_vector("token")} AS v FROM (SELECT DISTINCT token FROM {TOKENS})),
+    codes AS (SELECT {MADE_CODES} AS c),
+    vectors AS (
+        SELECT doc_id, i, v FROM (
+            SELECT doc_id, unnest(range(len({WORDS}))) AS i, unnest({WORDS}) AS token FROM documents
+        ) JOIN vocabulary USING (token))
+    SELECT doc_id, start, md5({as_text(add("flatten(ctx)", "c"))}) AS features,
+        {as_text("target")} AS label
+    FROM ({row_windows("vectors", 4, "v", "i", "doc_id")}), codes"""
+
 ORACLE: dict[str, str] = {
     "vector_file_scan": f"""SELECT row_number() OVER (ORDER BY vec_id) - 1 AS pos, vec_id::INT AS token,
         {as_text(DOUBLES)} AS embedding FROM embeddings""",
@@ -238,17 +250,8 @@ ORACLE: dict[str, str] = {
     "embedding_examples": f"""
         SELECT start, {as_text("features")} AS features, {as_text("label")} AS label
         FROM ({EMBEDDING_EXAMPLES})""",
-    "document_examples": f"""
-        WITH vocabulary AS (
-            SELECT token, {made_vector("token")} AS v FROM (SELECT DISTINCT token FROM {TOKENS})),
-        codes AS (SELECT {MADE_CODES} AS c),
-        vectors AS (
-            SELECT doc_id, i, v FROM (
-                SELECT doc_id, unnest(range(len({WORDS}))) AS i, unnest({WORDS}) AS token FROM documents
-            ) JOIN vocabulary USING (token))
-        SELECT doc_id, start, md5({as_text(add("flatten(ctx)", "c"))}) AS features,
-            {as_text("target")} AS label
-        FROM ({row_windows("vectors", 4, "v", "i", "doc_id")}), codes""",
+    "document_examples": DOCUMENT_EXAMPLES,
+    "document_examples_by_expression": DOCUMENT_EXAMPLES,
     "fit_features": f"SELECT doc_id, {as_text(fit(LENGTHS, 128))} AS features FROM documents",
     "fit_labels": f"""
         SELECT doc_id, 64 AS width, {as_text(fit("d", 64))} AS label FROM (

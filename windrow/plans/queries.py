@@ -319,6 +319,12 @@ def document_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", digest.alias("features"), as_text("label").alias("label"))
 
 
+def document_examples_by_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = features.examples_by_expression(document_compact(spark, sf_dir), WINDOW, MADE, ["doc_id"])
+    digest = F.md5(as_text("features").cast("binary"))
+    return found.select("doc_id", "start", digest.alias("features"), as_text("label").alias("label"))
+
+
 def fit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted = V.fit_width("features", 128)
     return word_lengths(spark, sf_dir).select("doc_id", as_text(fitted).alias("features"))
@@ -565,6 +571,7 @@ QUERIES: dict[str, Query] = {
         embedding_features,
         embedding_examples,
         document_examples,
+        document_examples_by_expression,
         fit_features,
         fit_labels,
         split_documents,
