@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from windrow.operators.positions import dense_positions
 from windrow.sources import vector_text as S

@@ -39,6 +39,7 @@ def ship_package(spark: SparkSession) -> None:
         # Done before, or imported from an archive that was submitted with the application.
         return
     parent, name = os.path.split(package)
+    # Made on the driver; Spark hands the archive to the executors.
     target = os.path.join(tempfile.mkdtemp(prefix="windrow-"), name)
     context.addPyFile(shutil.make_archive(target, "zip", parent, name))
     _shipped.add(context.applicationId)
