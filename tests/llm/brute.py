@@ -43,3 +43,30 @@ def suffix_dedup(rows, window=50):
         spans = len(re.findall(b"\x01+", bytes(gone)))
         out.append((i, len(d), sum(gone), spans, sha(bytes(b for b, g in zip(d, gone) if not g))))
     return sorted(out)
+
+
+def simhash(rows, shingle=4, max_bits=4):
+    """doc_id, fingerprint, component, by comparing all pairs of fingerprints."""
+    import xxhash
+
+    prints = {}
+    for i, t in rows:
+        words = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+        words = WORD.findall(words)
+        parts = [" ".join(words[a : a + shingle]) for a in range(max(1, len(words) - shingle + 1))] if words else []
+        hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+        prints[i] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    root = {i: i for i in prints}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(prints)
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            if (prints[i] ^ prints[j]).bit_count() <= max_bits:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return sorted((i, f"{prints[i]:016x}", find(i)) for i in ids)

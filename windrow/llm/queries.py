@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, quality, substrings, suffixes
+from windrow.llm import bpe, quality, simhash, substrings, suffixes
 from windrow.llm import token_counts as counts
 from windrow.llm.text import table
 from windrow.session import run_folder
@@ -34,6 +34,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", simhash.hexadecimal().alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -60,6 +65,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_simhash_dedup": op7_simhash_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
