@@ -39,7 +39,22 @@ LEDGER = rf"""
         FROM counted
     )"""
 
+VECTORS = """
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS vector
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0"""
+
 ORACLE: dict[str, str] = {
+    "op5_top_k": f"""
+        WITH vectors AS ({VECTORS}),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_inner_product(q.vector::DOUBLE[], c.vector::DOUBLE[])::BIGINT AS score
+            FROM vectors q, vectors c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+        )
+        SELECT query_id, rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+        WHERE rank <= 10""",
     "op10_quality_rules": f"""
         WITH {LEDGER}
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, quality, simhash, substrings, suffixes
+from windrow.llm import bpe, quality, simhash, substrings, suffixes, topk
 from windrow.llm import token_counts as counts
 from windrow.llm.text import table
 from windrow.session import run_folder
@@ -16,6 +16,8 @@ from windrow.session import run_folder
 #: Where the tokenizer of the queries lies; the file itself stays outside this package.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
+#: Searches take as queries the rows whose id this divides.
+QUERY_STEP = 100
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +31,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.floored("embedding").alias("vector"))
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % QUERY_STEP == 0))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -64,6 +71,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op5_top_k": op5_top_k,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
