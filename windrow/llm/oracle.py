@@ -44,7 +44,66 @@ VECTORS = """
     FROM embeddings
     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0"""
 
+MIXED = rf"""
+    rows AS (
+        SELECT doc_id, source, lang,
+               CASE WHEN contains(coalesce(text, ''), ' | ') THEN 'tabular'
+                    WHEN regexp_matches(coalesce(text, ''), '[#$%&*]{{3}}') THEN 'symbolic'
+                    WHEN contains(coalesce(text, ''), '!!') THEN 'loud' ELSE 'prose' END AS topic,
+               len({WORDS})::BIGINT AS n_tokens
+        FROM documents
+    ),
+    cells AS (
+        SELECT coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, topic, sum(n_tokens)::DOUBLE AS tokens
+        FROM rows GROUP BY ALL
+    ),
+    total AS (SELECT sum(tokens) AS total FROM cells)"""
+SHARES = {
+    "source": "SELECT source AS category, pow(sum(tokens), 0.5::DOUBLE) AS share FROM cells GROUP BY source",
+    "lang": "VALUES ('en', 0.5::DOUBLE), ('fr', 0.2), ('de', 0.2), ('es', 0.1)",
+    "topic": "VALUES ('prose', 0.9::DOUBLE), ('tabular', 0.06), ('symbolic', 0.02), ('loud', 0.02)",
+}
+
+
+def mixture(sweeps: int) -> str:
+    """So many sweeps of proportional fitting, written out."""
+    steps = [MIXED]
+    for margin, shares in SHARES.items():
+        steps.append(f"""
+    sums_{margin} AS (
+        SELECT category, t, share FROM (SELECT {margin} AS category, sum(tokens) AS t FROM cells GROUP BY 1)
+        LEFT JOIN ({shares}) AS s(category, share) USING (category) WHERE t > 0
+    ),
+    goal_{margin} AS MATERIALIZED (
+        SELECT category, CASE WHEN share IS NULL THEN t / (SELECT sum(t) FROM sums_{margin})
+            ELSE share / (SELECT sum(share) FROM sums_{margin})
+                 * (1 - (SELECT coalesce(sum(t) FILTER (share IS NULL), 0) / sum(t) FROM sums_{margin})) END AS share
+        FROM sums_{margin}
+    )""")
+    steps.append("w0 AS (SELECT *, 1::DOUBLE AS weight FROM cells)")
+    number = 0
+    for _ in range(sweeps):
+        for margin in SHARES:
+            steps.append(f"""
+    w{number + 1} AS MATERIALIZED (
+        SELECT c.* EXCLUDE (weight), weight * coalesce(g.share * (SELECT total FROM total) / nullif(held, 0), 1) AS weight
+        FROM w{number} c
+        JOIN (SELECT {margin}, sum(tokens * weight) AS held FROM w{number} GROUP BY 1) USING ({margin})
+        LEFT JOIN goal_{margin} g ON g.category = {margin}
+    )""")
+            number += 1
+    steps.append(f"chances AS (SELECT *, weight / (SELECT max(weight) FROM w{number}) AS probability FROM w{number})")
+    return "WITH " + ",".join(steps)
+
+
 ORACLE: dict[str, str] = {
+    "op4_mixing": f"""
+        {mixture(15)}
+        SELECT r.*, round(weight, 6) AS weight, round(probability, 6) AS probability,
+               ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '(none)')), 1, 8))::BIGINT / 4294967296::DOUBLE
+               < probability AS sampled
+        FROM rows r JOIN chances c ON coalesce(r.source, '(none)') = c.source
+             AND coalesce(r.lang, '(none)') = c.lang AND r.topic = c.topic""",
     "op5_top_k": f"""
         WITH vectors AS ({VECTORS}),
         scored AS (

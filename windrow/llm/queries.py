@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, quality, simhash, substrings, suffixes, topk
+from windrow.llm import bpe, langid, mixing, quality, simhash, substrings, suffixes, topk
 from windrow.llm import token_counts as counts
 from windrow.llm.text import table
 from windrow.session import run_folder
@@ -18,6 +18,10 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
 #: Searches take as queries the rows whose id this divides.
 QUERY_STEP = 100
+#: Shares of tokens that the mixture aims at.
+SOURCE_POWER = 0.5
+LANGUAGE_SHARES = {"en": 0.5, "fr": 0.2, "de": 0.2, "es": 0.1}
+TOPIC_SHARES = {"prose": 0.9, "tabular": 0.06, "symbolic": 0.02, "loud": 0.02}
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +35,28 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = langid.train(table(spark, sf_dir, "documents"))
+    rows = langid.identify(table(spark, sf_dir, "pages"), model)
+    return rows.withColumn("probability", F.round("probability", 6))
+
+
+#: Targets by margin: sources evened out, languages and topics fixed.
+MIXTURE = {
+    "source": lambda cells: mixing.smoothed(cells, "source", SOURCE_POWER),
+    "lang": lambda cells: mixing.fixed(cells, LANGUAGE_SHARES),
+    "topic": lambda cells: mixing.fixed(cells, TOPIC_SHARES),
+}
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", mixing.genre("text").alias("topic"), mixing.word_count("text").alias("n_tokens")
+    )
+    found = mixing.mix(rows, MIXTURE)
+    return found.withColumns({c: F.round(c, 6) for c in ("weight", "probability")})
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.floored("embedding").alias("vector"))
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % QUERY_STEP == 0))
@@ -71,6 +97,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_language_id": op2_language_id,
+    "op4_mixing": op4_mixing,
     "op5_top_k": op5_top_k,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_simhash_dedup": op7_simhash_dedup,
