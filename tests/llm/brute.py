@@ -70,3 +70,62 @@ def simhash(rows, shingle=4, max_bits=4):
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     return sorted((i, f"{prints[i]:016x}", find(i)) for i in ids)
+
+
+def kneser_ney(rows, order=2):
+    """doc_id, n_tokens, n_known, N, base score, score; ``rows`` are (id, text, learnt)."""
+    import math
+    from collections import Counter, defaultdict
+
+    docs = []
+    for i, t, learnt in rows:
+        text = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+        docs.append((i, ["<s>"] * (order - 1) + WORD.findall(text) + ["</s>"], learnt))
+    counts = {m: Counter() for m in range(1, order + 1)}
+    plain = Counter()
+    for _, tokens, learnt in docs:
+        for at in range(order - 1, len(tokens)) if learnt else ():
+            plain[tokens[at]] += 1
+            counts[order][tuple(tokens[at - order + 1 : at + 1])] += 1
+            for m in range(1, order):
+                gram = tuple(tokens[at - m + 1 : at + 1])
+                if gram[0] == "<s>":
+                    counts[m][gram] += 1
+    for m in range(order - 1, 0, -1):
+        before = defaultdict(set)
+        for gram in counts[m + 1]:
+            if gram[1] != "<s>":
+                before[gram[1:]].add(gram[0])
+        for gram, found in before.items():
+            counts[m][gram] = len(found)
+    discounts, behind = {}, {m: defaultdict(Counter) for m in counts}
+    for m in counts:
+        n = Counter(counts[m].values())
+        discounts[m] = [0.0]
+        for i in (1, 2, 3):
+            if n[1] and n[2] and n[i] and n[i + 1]:
+                d = i - (i + 1) * n[1] / (n[1] + 2 * n[2]) * n[i + 1] / n[i]
+                discounts[m].append(min(max(d, 0.0), float(i)))
+            else:
+                discounts[m].append((0.5, 1.0, 1.5)[i - 1])
+        for gram, c in counts[m].items():
+            behind[m][gram[:-1]]["sum"] += c
+            behind[m][gram[:-1]][min(c, 3)] += 1
+    total, distinct = sum(plain.values()), len(plain)
+    out = []
+    for i, tokens, _ in docs:
+        base = score = 0.0
+        for at in range(order - 1, len(tokens)):
+            chance = 1 / (distinct + 1)
+            for m in range(1, order + 1):
+                gram = tuple(tokens[at - m + 1 : at + 1])
+                context, d = behind[m].get(gram[:-1]), discounts[m]
+                if context:
+                    c = counts[m][gram]
+                    left = sum(d[k] * context[k] for k in (1, 2, 3))
+                    chance = (c - d[min(c, 3)]) / context["sum"] + left / context["sum"] * chance
+            score += math.log10(chance)
+            base += math.log10((plain[tokens[at]] + 0.1) / (total + 0.1 * (distinct + 1)))
+        known = sum(plain[t] > 0 for t in tokens[order - 1 :])
+        out.append((i, len(tokens) - order + 1, known, total, base, score))
+    return sorted(out)

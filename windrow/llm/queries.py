@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, langid, mixing, quality, simhash, substrings, suffixes, topk
+from windrow.llm import bpe, kneser_ney, langid, mixing, quality, simhash, substrings, suffixes, topk
 from windrow.llm import token_counts as counts
 from windrow.llm.text import table
 from windrow.session import run_folder
@@ -16,6 +16,8 @@ from windrow.session import run_folder
 #: Where the tokenizer of the queries lies; the file itself stays outside this package.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
+#: One text in so many is not learnt from.
+HELD_OUT = 10
 #: Searches take as queries the rows whose id this divides.
 QUERY_STEP = 100
 #: Shares of tokens that the mixture aims at.
@@ -41,6 +43,15 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("probability", F.round("probability", 6))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null id is held out."""
+    digest = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    rows, _ = kneser_ney.learn_and_score(table(spark, sf_dir, "documents"), digest % HELD_OUT != 0)
+    return rows.select(
+        "doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 #: Targets by margin: sources evened out, languages and topics fixed.
 MIXTURE = {
     "source": lambda cells: mixing.smoothed(cells, "source", SOURCE_POWER),
@@ -98,6 +109,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_language_id": op2_language_id,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_mixing": op4_mixing,
     "op5_top_k": op5_top_k,
     "op6_substring_dedup": op6_substring_dedup,
