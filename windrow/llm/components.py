@@ -66,3 +66,22 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         open_ = a != b
         a, b = a[open_], b[open_]
     return root
+
+
+def local_forest(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of links that connect all that ``a`` and ``b`` connect, and the new roots.
+
+    ``root`` says what is connected already. In each round every tree takes one link that leaves it.
+    """
+    chosen = [np.zeros(0, np.int64)]
+    left = np.arange(len(a))
+    while True:
+        ra, rb = root[a[left]], root[b[left]]
+        open_ = ra != rb
+        left, ra, rb = left[open_], ra[open_], rb[open_]
+        if not len(left):
+            return np.concatenate(chosen), root
+        first = np.unique(np.concatenate([ra, rb]), return_index=True)[1] % len(left)
+        first = np.unique(first)
+        chosen.append(left[first])
+        root = local_roots(len(root), ra[first], rb[first])[root]

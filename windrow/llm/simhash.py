@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windrow.llm.components import connected, local_roots
+from windrow.llm.components import connected, local_forest
 from windrow.session import run_folder, ship_package
 
 SHINGLE, MAX_BITS, BITS, SEED = 4, 4, 64, 42
@@ -150,7 +150,7 @@ def _links_at(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: in
     size = np.diff(np.append(first, len(anchor)))
     group = np.repeat(np.arange(len(first)), size)
     own = np.flatnonzero(home)
-    root = np.arange(len(fp))
+    root, chosen = np.arange(len(fp)), []
     work = np.cumsum(size[group[own]])
     start = 0
     while start < len(own):
@@ -163,15 +163,14 @@ def _links_at(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: in
         right = np.repeat(first[group[h]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
         differ = np.bitwise_count((fp[left] ^ fp[right]).view(np.uint64))
         near = (differ <= max_bits) & (differ > 0)
-        a, b = root[left[near]], root[right[near]]
-        if len(a):
-            root = local_roots(len(fp), a, b)[root]
-    moved = np.flatnonzero(root != np.arange(len(fp)))
-    return fp[moved], fp[root[moved]]
+        left, right = left[near], right[near]
+        taken, root = local_forest(root, left, right)
+        chosen.append(np.stack([fp[left[taken]], fp[right[taken]]]))
+    return tuple(np.concatenate([np.zeros((2, 0), np.int64), *chosen], axis=1))
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``a, b``: links between distinct fingerprints, as many as connect what is linked at an anchor."""
+    """``a, b``: pairs within ``max_bits``, as many as connect all that is linked at an anchor."""
     rows = _salted(members(prints, max_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,14 +232,88 @@ def near_duplicates(
     return prints.join(of_print, "fp").select(F.col("_key").alias(key), "fp", "component")
 
 
+def shingle_set(text: str, shingle: int) -> np.ndarray:
+    """Distinct hashes of the shingles of the lower-cased text; fewer words make one shingle, none make none."""
+    words = text.encode().lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = [0, *(ends[:-1] + 1).tolist()]
+    last = ends[min(shingle, len(words)) - 1 :].tolist()
+    return np.unique(np.array([xxhash.xxh3_64_intdigest(joined[a:b]) for a, b in zip(starts, last)], np.uint64))
+
+
+def similar(pairs: DataFrame, documents: DataFrame, key: str, text: str, shingle: int, similarity: float) -> DataFrame:
+    """Those of the ``a, b`` pairs of keys whose whole texts' shingle sets have at least that Jaccard similarity.
+
+    Two texts without words are alike. Only texts that a pair names are moved.
+    """
+    spark = documents.sparkSession
+    folder = run_folder(spark, "similar")
+    ends = pairs.select(F.col("a").alias("_end")).union(pairs.select("b")).distinct()
+    named = documents.select(documents[key].alias("_key"), F.coalesce(documents[text], F.lit("")).alias("_text"))
+    named = named.join(ends, F.col("_key") == F.col("_end"), "left_semi").dropDuplicates(["_key"])
+    named.write.parquet(folder)
+    named = spark.read.parquet(folder)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                x, y = shingle_set(x.as_py(), shingle), shingle_set(y.as_py(), shingle)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(common >= similarity * (len(x) + len(y) - common))
+            found = pa.Table.from_batches([batch.select(["a", "b"])]).filter(pa.array(keep, pa.bool_()))
+            yield from found.to_batches()
+
+    first = named.select(F.col("_key").alias("a"), F.col("_text").alias("x"))
+    second = named.select(F.col("_key").alias("b"), F.col("_text").alias("y"))
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
+
+
 def keep_first(
-    documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
+    documents: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = 5,
+    max_bits: int = 7,
+    similarity: float = 0.8,
 ) -> DataFrame:
-    """The documents with the smallest key of their component, one row each, with all their columns."""
-    found = near_duplicates(documents, key, text, shingle, max_bits)
-    first = found.where(F.col(key).eqNullSafe(F.col("component"))).select(F.col("component").alias("_first")).distinct()
-    kept = documents.join(first, documents[key].eqNullSafe(first["_first"]), "left_semi")
-    return kept.dropDuplicates([key])
+    """One document, that with the smallest key, of each group of near duplicates, with all its columns.
+
+    Equal texts are duplicates. Texts whose fingerprints are equal or differ in up to ``max_bits`` bits
+    are so if their sets of ``shingle`` words have at least that ``similarity``; chance neighbours
+    among very many fingerprints stay apart. A group is what such links connect. Null and empty texts
+    are equal. Keys identify documents: of rows that repeat a key one stays; rows with a null key all
+    stay. An empty table gives no rows.
+    """
+    spark = documents.sparkSession
+    ship_package(spark)
+    folder = run_folder(spark, "simhash-groups")
+    keyed = documents.where(documents[key].isNotNull())
+    whole = F.coalesce(keyed[text], F.lit(""))
+    inner = keyed.select(F.struct(keyed[key].cast("bigint").alias("k"), F.sha2(whole, 256).alias("d")).alias("_k"), whole.alias("_t"))
+    prints = fingerprints(inner, "_k", "_t", shingle)
+    # Equal texts become one row at once.
+    prints.groupBy("fp", F.col("_k.d").alias("digest")).agg(F.min("_k.k").alias("node")).write.parquet(f"{folder}/texts")
+    texts = spark.read.parquet(f"{folder}/texts").select("fp", "node")
+    texts.groupBy("fp").agg(F.min("node").alias("least")).write.parquet(f"{folder}/classes")
+    classes = spark.read.parquet(f"{folder}/classes")
+    equal = texts.join(classes, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    near = links(classes, max_bits)
+    for end in ("a", "b"):
+        of = classes.select(F.col("fp").alias(f"_{end}"), F.col("least").alias(f"_{end}_key"))
+        near = near.join(of, F.col(end) == F.col(f"_{end}"))
+    near = near.select(F.least("_a_key", "_b_key").alias("a"), F.greatest("_a_key", "_b_key").alias("b"))
+    equal.union(near).where("a <> b").distinct().write.parquet(f"{folder}/pairs")
+    pairs = spark.read.parquet(f"{folder}/pairs")
+    alike = similar(pairs, documents, key, text, shingle, similarity)
+    roots = connected(alike)
+    first = texts.join(roots, "node", "left").where(F.coalesce("root", "node") == F.col("node"))
+    first = first.select(F.col("node").alias("_first")).distinct()
+    kept = documents.join(first, documents[key] == first["_first"], "left_semi").dropDuplicates([key])
+    return kept.unionByName(documents.where(documents[key].isNull()))
 
 
 def hexadecimal(fp: str = "fp"):
