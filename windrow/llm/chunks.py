@@ -4,13 +4,16 @@ A chunk is a row: some megabytes of documents, compressed, in a table in the sha
 content and its number stay the same whenever a task is run again. A chunk asks about its distinct
 keys at once; the keys are cut into ranges, each range meets in one task as packed arrays, and every
 chunk gets its answers as arrays in the order it asked. A key costs some bytes once per chunk,
-however often it occurs, so a key that fills a third of the corpus is as light as any other.
+however often it occurs, so a key that fills a third of the corpus is as light as any other. The
+table is bucketed by chunk: answers travel to their chunk, texts are never shuffled.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,14 +26,25 @@ from pyspark.sql import functions as F
 from windrow.session import run_folder, ship_package
 
 #: Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 3 << 20
+#: Spark's own limit to the number of buckets.
+MOST_BUCKETS = 100_000
 CHUNK_SCHEMA = "chunk bigint, rows binary"
 MESSAGE_SCHEMA = "part int, chunk bigint, data binary"
 ANSWER_SCHEMA = "chunk bigint, part int, data binary"
 
 
-def to_chunks(documents: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
-    """The table of chunks, written to the shared folder, and how many there are.
+@dataclass(frozen=True)
+class Chunks:
+    """``chunk, rows``, bucketed by chunk."""
+
+    frame: DataFrame
+    n_chunks: int
+    n_buckets: int
+
+
+def to_chunks(documents: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES) -> Chunks:
+    """The table of chunks, written to the shared folder.
 
     All columns travel along. In a chunk, rows are sorted by key (nulls first), then text.
     """
@@ -58,13 +72,14 @@ def to_chunks(documents: DataFrame, key: str, text: str, chunk_bytes: int = CHUN
         if held:
             yield _chunk(held, number)
 
-    folder = run_folder(spark, "chunks")
-    # Chunks are compressed as they are.
-    keyed.mapInArrow(pack, CHUNK_SCHEMA).write.option("parquet.enable.dictionary", "false").parquet(
-        folder, compression="none"
-    )
-    chunks = spark.read.schema(CHUNK_SCHEMA).parquet(folder)
-    return chunks, max(1, chunks.select("chunk").count())
+    n_buckets = min(MOST_BUCKETS, max(1, keyed.rdd.getNumPartitions()))
+    name, folder = f"windrow_chunks_{uuid.uuid4().hex}", run_folder(spark, "chunks")
+    # Chunks are compressed as they are. The catalog's entry is only needed for reading them bucketed.
+    writer = keyed.mapInArrow(pack, CHUNK_SCHEMA).write.bucketBy(n_buckets, "chunk").option("path", folder)
+    writer.option("parquet.enable.dictionary", "false").option("compression", "none").saveAsTable(name)
+    frame = spark.read.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return Chunks(frame, max(1, frame.select("chunk").count()), n_buckets)
 
 
 def _chunk(held: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
@@ -134,48 +149,56 @@ def unpack_arrays(data: bytes) -> dict[str, np.ndarray | bytes]:
     return found
 
 
-def message(part: int, chunk: int, data: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {"part": pa.array([part], pa.int32()), "chunk": pa.array([chunk], pa.int64()), "data": pa.array([data], pa.binary())}
-    )
+def messages(chunk: int, parts: list[int], data: list[bytes]) -> pa.RecordBatch:
+    columns = {"part": pa.array(parts, pa.int32()), "chunk": pa.array([chunk] * len(parts), pa.int64())}
+    return pa.RecordBatch.from_pydict(columns | {"data": pa.array(data, pa.binary())})
 
 
-def ask(keys: np.ndarray, bits: int, n_parts: int, chunk: int, **values: np.ndarray) -> Iterator[pa.RecordBatch]:
+def ask(keys: np.ndarray, bits: int, n_parts: int, chunk: int, **values: np.ndarray) -> pa.RecordBatch:
     """Messages with a chunk's sorted distinct keys and what belongs to them, by range."""
     bounds = np.searchsorted(part_of(keys, bits, n_parts), np.arange(n_parts + 1))
-    for part in np.flatnonzero(np.diff(bounds)).tolist():
-        a, b = bounds[part], bounds[part + 1]
-        yield message(part, chunk, pack_arrays(keys=keys[a:b], **{k: v[a:b] for k, v in values.items()}))
+    parts = np.flatnonzero(np.diff(bounds)).tolist()
+    cuts = [(bounds[part], bounds[part + 1]) for part in parts]
+    data = [pack_arrays(keys=keys[a:b], **{k: v[a:b] for k, v in values.items()}) for a, b in cuts]
+    return messages(chunk, parts, data)
 
 
-def meet(messages: DataFrame, n_parts: int, work: Callable[[int, list[tuple[int, bytes]]], Iterator[pa.RecordBatch]], schema: str):
+def each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one at a time, so that no more than one chunk is unpacked."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+
+
+def meet(
+    asked: DataFrame, n_parts: int, work: Callable[[int, list[tuple[int, bytes]]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
     """``work(part, [(chunk, data)])`` for every range of keys, whose messages meet in one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[int, bytes]]] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                held.setdefault(row["part"], []).append((row["chunk"], row["data"]))
+        for row in each(batches):
+            held.setdefault(row["part"], []).append((row["chunk"], row["data"]))
         for part in sorted(held):
             yield from work(part, sorted(held.pop(part), key=lambda x: x[0]))
 
-    return messages.repartitionById(n_parts, "part").mapInArrow(run, schema)
+    return asked.repartitionById(n_parts, "part").mapInArrow(run, schema)
 
 
-def answer(chunk: int, part: int, data: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {"chunk": pa.array([chunk], pa.int64()), "part": pa.array([part], pa.int32()), "data": pa.array([data], pa.binary())}
-    )
+def answers(part: int, chunks: list[int], data: list[bytes]) -> pa.RecordBatch:
+    columns = {"chunk": pa.array(chunks, pa.int64()), "part": pa.array([part] * len(chunks), pa.int32())}
+    return pa.RecordBatch.from_pydict(columns | {"data": pa.array(data, pa.binary())})
 
 
-def with_answers(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
+def with_answers(chunks: Chunks, *given: DataFrame) -> DataFrame:
     """Chunks with their answers, as arrays ``answers_0``, ``answers_1``, … of part and data."""
-    for i, given in enumerate(answers):
-        gathered = given.groupBy("chunk").agg(
-            F.sort_array(F.collect_list(F.struct("part", "data"))).alias(f"answers_{i}")
-        )
-        chunks = chunks.join(gathered, "chunk", "left")
-    return chunks
+    found = chunks.frame
+    for i, rows in enumerate(given):
+        # Dealt like the buckets, so that the chunks stay where they are.
+        placed = rows.repartition(chunks.n_buckets, "chunk").groupBy("chunk")
+        gathered = placed.agg(F.sort_array(F.collect_list(F.struct("part", "data"))).alias(f"answers_{i}"))
+        found = found.join(gathered.hint("merge"), "chunk", "left")
+    return found
 
 
 def joined(answers: list[dict] | None, dtype: str) -> np.ndarray:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from windrow.llm import chunks as C
 from windrow.session import run_folder
 
-ORDER, BITS, CHUNK_BYTES = 2, 56, 16 << 20
+ORDER, BITS, CHUNK_BYTES = 2, 56, 8 << 20
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 #: What is stored for an n-gram: its (adjusted) count, and as a context the sum of counts behind it and
 #: how many of them are one, two, and three or more; for words the plain count, too.
@@ -118,30 +118,29 @@ def _questions(m: int, order: int, n_parts: int, learning: bool):
     """Messages with a chunk's n-grams of order m, and what the chunk adds to their figures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                rows = C.rows_of(row["rows"])
-                tokens = Tokens(rows, order)
-                index, values = tokens.index[m], {}
-                if learning:
-                    trained = tokens.trained(rows, "_train")
-                    plain = tokens.sums(m, index[trained])
-                    if m == order:
-                        values["count"] = plain
-                    else:
-                        above = _answered(row["answers_0"], ("count", "own"))
-                        own = np.flatnonzero(above["own"])
-                        place = np.unique(tokens.index[m + 1], return_index=True)[1][own]
-                        count = above["count"][own]
-                        context, suffix = index[place - 1], index[place]
-                        distinct = tokens.sums(m, suffix)
-                        values["count"] = np.where(tokens.first_is_begin[m], plain, distinct)
-                        values["behind"] = tokens.sums(m, context, count)
-                        for name, of in (("ones", count == 1), ("twos", count == 2), ("more", count > 2)):
-                            values[name] = tokens.sums(m, context[of])
-                        if m == 1:
-                            values["plain"] = plain
-                yield from C.ask(tokens.keys[m], BITS, n_parts, row["chunk"], **values)
+        for row in C.each(batches):
+            rows = C.rows_of(row["rows"])
+            tokens = Tokens(rows, order)
+            index, values = tokens.index[m], {}
+            if learning:
+                trained = tokens.trained(rows, "_train")
+                plain = tokens.sums(m, index[trained])
+                if m == order:
+                    values["count"] = plain
+                else:
+                    above = _answered(row["answers_0"], ("count", "own"))
+                    own = np.flatnonzero(above["own"])
+                    place = np.unique(tokens.index[m + 1], return_index=True)[1][own]
+                    count = above["count"][own]
+                    context, suffix = index[place - 1], index[place]
+                    distinct = tokens.sums(m, suffix)
+                    values["count"] = np.where(tokens.first_is_begin[m], plain, distinct)
+                    values["behind"] = tokens.sums(m, context, count)
+                    for name, of in (("ones", count == 1), ("twos", count == 2), ("more", count > 2)):
+                        values[name] = tokens.sums(m, context[of])
+                    if m == 1:
+                        values["plain"] = plain
+            yield C.ask(tokens.keys[m], BITS, n_parts, row["chunk"], **values)
 
     return run
 
@@ -218,66 +217,65 @@ def _scores(model: Model):
     order = model.order
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                rows = C.rows_of(row["rows"])
-                tokens = Tokens(rows, order)
-                at = np.flatnonzero(tokens.predicted)
-                chance = np.full(len(at), 1.0 / (model.vocabulary + 1))
-                context = None
-                for m in range(1, order + 1):
-                    given = _answered(row[f"answers_{m - 1}"], _fields(m, order))
-                    count = given["count"][tokens.index[m][at]].astype(float)
-                    discounts = model.discounts(m)
-                    taken = discounts[np.minimum(count, 3).astype(int)]
-                    if m == 1:
-                        n1, n2, _, _, _, total, more = model.counts_of_counts.get(1, (0,) * 7)
-                        behind, ones, twos, rest = (np.full(len(at), float(x)) for x in (total, n1, n2, more))
-                    else:
-                        behind, ones, twos, rest = (context[k][tokens.index[m - 1][at - 1]].astype(float) for k in FIELDS[1:5])
-                    some = behind > 0
-                    left = discounts[1] * ones + discounts[2] * twos + discounts[3] * rest
-                    whole = np.where(some, behind, 1.0)
-                    chance = np.where(some, (count - taken) / whole + left / whole * chance, chance)
-                    if m == 1:
-                        plain = given["plain"][tokens.index[1][at]].astype(float)
-                    context = given
-                n = len(tokens.length)
-                of = tokens.document[at]
-                base = np.log10((plain + 0.1) / (model.tokens + 0.1 * (model.vocabulary + 1)))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "_key": rows.column("_row").combine_chunks().field("_k"),
-                        "learnt": rows.column("_row").combine_chunks().field("_train"),
-                        "n_tokens": np.bincount(of, minlength=n).astype(np.int64),
-                        "n_known": np.bincount(of[plain > 0], minlength=n).astype(np.int64),
-                        "base_score": np.bincount(of, base, minlength=n).astype(float),
-                        "score": np.bincount(of, np.log10(chance), minlength=n).astype(float),
-                    }
-                )
+        for row in C.each(batches):
+            rows = C.rows_of(row["rows"])
+            tokens = Tokens(rows, order)
+            at = np.flatnonzero(tokens.predicted)
+            chance = np.full(len(at), 1.0 / (model.vocabulary + 1))
+            context = None
+            for m in range(1, order + 1):
+                given = _answered(row[f"answers_{m - 1}"], _fields(m, order))
+                count = given["count"][tokens.index[m][at]].astype(float)
+                discounts = model.discounts(m)
+                taken = discounts[np.minimum(count, 3).astype(int)]
+                if m == 1:
+                    n1, n2, _, _, _, total, more = model.counts_of_counts.get(1, (0,) * 7)
+                    behind, ones, twos, rest = (np.full(len(at), float(x)) for x in (total, n1, n2, more))
+                else:
+                    behind, ones, twos, rest = (context[k][tokens.index[m - 1][at - 1]].astype(float) for k in FIELDS[1:5])
+                some = behind > 0
+                left = discounts[1] * ones + discounts[2] * twos + discounts[3] * rest
+                whole = np.where(some, behind, 1.0)
+                chance = np.where(some, (count - taken) / whole + left / whole * chance, chance)
+                if m == 1:
+                    plain = given["plain"][tokens.index[1][at]].astype(float)
+                context = given
+            n = len(tokens.length)
+            of = tokens.document[at]
+            base = np.log10((plain + 0.1) / (model.tokens + 0.1 * (model.vocabulary + 1)))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "_key": rows.column("_row").combine_chunks().field("_k"),
+                    "learnt": rows.column("_row").combine_chunks().field("_train"),
+                    "n_tokens": np.bincount(of, minlength=n).astype(np.int64),
+                    "n_known": np.bincount(of[plain > 0], minlength=n).astype(np.int64),
+                    "base_score": np.bincount(of, base, minlength=n).astype(float),
+                    "score": np.bincount(of, np.log10(chance), minlength=n).astype(float),
+                }
+            )
 
     return run
 
 
-def _run_level(chunks: DataFrame, m: int, order: int, n_parts: int, folder: str, learning: bool, stored: DataFrame | None):
-    messages = chunks.mapInArrow(_questions(m, order, n_parts, learning), C.MESSAGE_SCHEMA)
+def _run_level(asking: DataFrame, m: int, order: int, n_parts: int, folder: str, learning: bool, stored: DataFrame | None):
+    messages = asking.mapInArrow(_questions(m, order, n_parts, learning), C.MESSAGE_SCHEMA)
     if stored is not None:
         messages = messages.unionByName(stored.select("part", F.lit(STORED).cast("bigint").alias("chunk"), "data"))
     path = f"{folder}/order={m}"
     C.meet(messages, n_parts, _level(m, order), LEVEL_SCHEMA).write.partitionBy("kind").parquet(path)
-    return chunks.sparkSession.read.schema(LEVEL_SCHEMA).parquet(path)
+    return asking.sparkSession.read.schema(LEVEL_SCHEMA).parquet(path)
 
 
 def _answers(level: DataFrame) -> DataFrame:
     return level.where("kind = 'answer'").select("chunk", "part", "data")
 
 
-def _chunked(documents: DataFrame, key: str, text: str, learn: Column, chunk_bytes: int) -> tuple[DataFrame, int]:
+def _chunked(documents: DataFrame, key: str, text: str, learn: Column, chunk_bytes: int) -> C.Chunks:
     inner = documents.select(documents[key].alias("_k"), documents[text].alias("_t"), learn.alias("_train"))
     return C.to_chunks(inner, "_k", "_t", chunk_bytes)
 
 
-def _finish(chunks: DataFrame, levels: dict[int, DataFrame], model: Model, key: str, key_type: str) -> DataFrame:
+def _finish(chunks: C.Chunks, levels: dict[int, DataFrame], model: Model, key: str, key_type: str) -> DataFrame:
     answered = C.with_answers(chunks, *[_answers(levels[m]) for m in range(1, model.order + 1)])
     schema = f"_key {key_type}, learnt boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     found = answered.mapInArrow(_scores(model), schema).withColumnRenamed("_key", key)
@@ -301,12 +299,12 @@ def learn_and_score(
     repeated rows are learnt and scored each; an empty table gives no rows. Other columns take no part.
     """
     spark = documents.sparkSession
-    chunks, n_chunks = _chunked(documents, key, text, learn, chunk_bytes)
-    n_parts = C.parts_for(n_chunks)
+    chunks = _chunked(documents, key, text, learn, chunk_bytes)
+    n_parts = C.parts_for(chunks.n_chunks)
     folder = run_folder(spark, "kneser-ney")
     levels: dict[int, DataFrame] = {}
     for m in range(order, 0, -1):
-        asking = C.with_answers(chunks, _answers(levels[m + 1])) if m < order else chunks
+        asking = C.with_answers(chunks, _answers(levels[m + 1])) if m < order else chunks.frame
         levels[m] = _run_level(asking, m, order, n_parts, folder, True, None)
     model = _model(spark, folder, order, n_parts)
     return _finish(chunks, levels, model, key, documents.schema[key].dataType.simpleString()), model
@@ -331,10 +329,10 @@ def score(
 ) -> DataFrame:
     """Scores of other documents by a stored model; columns and rules as for ``learn_and_score``."""
     spark = documents.sparkSession
-    chunks, _ = _chunked(documents, key, text, F.lit(False), chunk_bytes)
+    chunks = _chunked(documents, key, text, F.lit(False), chunk_bytes)
     folder = run_folder(spark, "kneser-ney-scores")
     levels = {}
     for m in range(1, model.order + 1):
         stored = spark.read.schema(LEVEL_SCHEMA).parquet(f"{model.folder}/order={m}").where("kind = 'model'")
-        levels[m] = _run_level(chunks, m, model.order, model.n_parts, folder, False, stored)
+        levels[m] = _run_level(chunks.frame, m, model.order, model.n_parts, folder, False, stored)
     return _finish(chunks, levels, model, key, documents.schema[key].dataType.simpleString())

@@ -124,10 +124,9 @@ class Sequence:
             found.append(smallest(hashes, kind.window - kind.gram + 1) >> np.uint64(64 - BITS))
         values = np.concatenate([np.zeros(0, np.uint64), *found])
         # No window crosses the end of a document.
-        edge = np.zeros(self.n + 2, np.int32)
-        np.add.at(edge, np.maximum(self.begins, self.ends - kind.window + 1), 1)
-        np.add.at(edge, self.ends, -1)
-        inside = np.cumsum(edge)[: len(values)] == 0
+        inside = np.ones(len(values), bool)
+        for a, b in zip(np.maximum(self.begins, self.ends - kind.window + 1).tolist(), self.ends.tolist()):
+            inside[a:b] = False
         cut = np.ones(len(values), bool)
         cut[1:] = (values[1:] != values[:-1]) | ~inside[:-1]
         first = np.zeros(self.n + 1, bool)  # a run ends with its document, too
@@ -138,7 +137,7 @@ class Sequence:
         outside = np.flatnonzero(~inside)
         at = np.searchsorted(outside, start)
         limit = np.where(at < len(outside), np.append(outside, len(values))[at], len(values))
-        return start, np.minimum(stop, limit) - start, values[start]
+        return start, np.minimum(stop, limit) - start, values[start].copy()
 
     def times(self, values: np.ndarray) -> np.ndarray:
         """How often each minimiser occurs in the chunk, at least 1.
@@ -197,12 +196,11 @@ def requests(kind: Kind, n_parts: int) -> Callable:
     """Messages that ask how often a chunk's minimisers occur."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                sequence = Sequence(kind, C.rows_of(row["rows"]))
-                _, _, values = sequence.runs()
-                counts = np.minimum(sequence.times(values), HOT + 1).astype("<u2")
-                yield from C.ask(np.unique(values), BITS, n_parts, row["chunk"], counts=counts)
+        for row in C.each(batches):
+            sequence = Sequence(kind, C.rows_of(row["rows"]))
+            _, _, values = sequence.runs()
+            counts = np.minimum(sequence.times(values), HOT + 1).astype("<u2")
+            yield C.ask(np.unique(values), BITS, n_parts, row["chunk"], counts=counts)
 
     return run
 
@@ -213,11 +211,9 @@ def occurrences(part: int, messages: list[tuple[int, bytes]]) -> Iterator[pa.Rec
     keys, index = np.unique(np.concatenate([m["keys"] for m in asked]), return_inverse=True)
     total = np.bincount(index, weights=np.concatenate([m["counts"] for m in asked]), minlength=len(keys))
     classes = ((total > 1).astype(np.uint8) + (total > HOT))[index].astype(np.uint8)
-    at = 0
-    for (chunk, _), m in zip(messages, asked):
-        n = len(m["keys"])
-        yield C.answer(chunk, part, zstandard.compress(classes[at : at + n].tobytes(), 1))
-        at += n
+    ends = np.cumsum([len(m["keys"]) for m in asked])
+    data = [zstandard.compress(c.tobytes(), 1) for c in np.split(classes, ends[:-1])]
+    yield C.answers(part, [chunk for chunk, _ in messages], data)
 
 
 class Candidates:
@@ -258,36 +254,37 @@ class Candidates:
         self.place = ragged(head[self.order], self.n_windows[self.order])
 
 
+def packed(sequence: Sequence, found: Candidates, of: np.ndarray) -> bytes:
+    """The strings of some pieces, with where they come from."""
+    start, n = found.start[of], found.n_windows[of]
+    units = n + sequence.kind.window - 1
+    if sequence.kind.words:
+        data = [b" ".join(sequence.words[a : a + k]) for a, k in zip(start.tolist(), units.tolist())]
+        size, data = np.array([len(d) for d in data]), b"".join(data)
+    else:
+        size, data = units, sequence.bytes[ragged(start, units)].tobytes()
+    document = sequence.document(start)
+    return C.pack_arrays(
+        key=sequence.keys[document].astype("<i8"),
+        start=(start - sequence.begins[document]).astype("<i8"),
+        n_windows=n.astype("<i4"),
+        n_bytes=size.astype("<i4"),
+        data=data,
+    )
+
+
 def strings(kind: Kind, n_parts: int) -> Callable:
     """Messages with the packed strings that go to the buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                sequence = Sequence(kind, C.rows_of(row["rows"]))
-                found = Candidates(sequence, row["answers_0"], n_parts)
-                bounds = np.searchsorted(found.part[found.order], np.arange(n_parts + 1))
-                for part in np.flatnonzero(np.diff(bounds)).tolist():
-                    of = found.order[bounds[part] : bounds[part + 1]]
-                    start, n = found.start[of], found.n_windows[of]
-                    units = n + kind.window - 1
-                    if kind.words:
-                        data = [b" ".join(sequence.words[a : a + k]) for a, k in zip(start.tolist(), units.tolist())]
-                        size, data = np.array([len(d) for d in data]), b"".join(data)
-                    else:
-                        size, data = units, sequence.bytes[ragged(start, units)].tobytes()
-                    document = sequence.document(start)
-                    yield C.message(
-                        part,
-                        row["chunk"],
-                        C.pack_arrays(
-                            key=sequence.keys[document].astype("<i8"),
-                            start=(start - sequence.begins[document]).astype("<i8"),
-                            n_windows=n.astype("<i4"),
-                            n_bytes=size.astype("<i4"),
-                            data=data,
-                        ),
-                    )
+        for row in C.each(batches):
+            sequence = Sequence(kind, C.rows_of(row["rows"]))
+            found = Candidates(sequence, row["answers_0"], n_parts)
+            bounds = np.searchsorted(found.part[found.order], np.arange(n_parts + 1))
+            parts = np.flatnonzero(np.diff(bounds)).tolist()
+            yield C.messages(
+                row["chunk"], parts, [packed(sequence, found, found.order[bounds[p] : bounds[p + 1]]) for p in parts]
+            )
 
     return run
 
@@ -300,11 +297,9 @@ def buckets(compare: Callable[[Piece], np.ndarray]) -> Callable:
         names = ("key", "start", "n_windows", "n_bytes")
         pieces = Piece(*(np.concatenate([m[k] for m in sent]) for k in names), b"".join(m["data"] for m in sent))
         earlier = compare(pieces)
-        at = 0
-        for (chunk, _), m in zip(messages, sent):
-            n = int(m["n_windows"].sum())
-            yield C.answer(chunk, part, zstandard.compress(earlier[at : at + n].astype(np.uint8).tobytes(), 1))
-            at += n
+        ends = np.cumsum([int(m["n_windows"].sum()) for m in sent])
+        data = [zstandard.compress(e.astype(np.uint8).tobytes(), 1) for e in np.split(earlier, ends[:-1])]
+        yield C.answers(part, [chunk for chunk, _ in messages], data)
 
     return run
 
@@ -338,9 +333,9 @@ def remove(
     chunk_bytes: int,
 ) -> DataFrame:
     """``result(sequence, rows, removed)`` of every chunk."""
-    chunks, n_chunks = C.to_chunks(documents, key, text, chunk_bytes)
-    n_parts = C.parts_for(n_chunks)
-    asked = chunks.mapInArrow(requests(kind, n_parts), C.MESSAGE_SCHEMA)
+    chunks = C.to_chunks(documents, key, text, chunk_bytes)
+    n_parts = C.parts_for(chunks.n_chunks)
+    asked = chunks.frame.mapInArrow(requests(kind, n_parts), C.MESSAGE_SCHEMA)
     counted = C.meet(asked, n_parts, occurrences, C.ANSWER_SCHEMA)
     spark = documents.sparkSession
     folder = C.run_folder(spark, "repeats")
@@ -351,11 +346,12 @@ def remove(
     compared = spark.read.schema(C.ANSWER_SCHEMA).parquet(f"{folder}/compared")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                rows = C.rows_of(row["rows"])
-                sequence = Sequence(kind, rows)
-                found = Candidates(sequence, row["answers_0"], n_parts)
-                yield from result(sequence, rows, removed_units(sequence, found, row["answers_1"]))
+        for row in C.each(batches):
+            rows = C.rows_of(row["rows"])
+            sequence = Sequence(kind, rows)
+            found = Candidates(sequence, row["answers_0"], n_parts)
+            removed = removed_units(sequence, found, row["answers_1"])
+            del found
+            yield from result(sequence, rows, removed)
 
     return C.with_answers(chunks, counted, compared).mapInArrow(cut, schema)
