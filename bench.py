@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from windrow.operators import features, partitions, training
+from windrow.operators import features, training
 from windrow.plans import queries as Q
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -28,10 +28,8 @@ def rows_query(query: Q.Query) -> Callable[[SparkSession], None]:
 def train_as_published(spark: SparkSession) -> dict:
     """The published runs' model and settings: 512-256-256-128, 10 epochs, on the stored vectors."""
     settings = training.Settings(window=4, vector=128, hidden=256, epochs=10)
-    n_rows = Q.table(spark, SF_DIR, "embeddings").count()
-    workers = partitions.partitions_for(n_rows, spark.sparkContext.defaultParallelism)
     compact = Q.embedding_compact(spark, SF_DIR, block_rows=64)
-    data = training.blocks_for_training(compact, settings, Q.VECTOR, workers=workers)
+    data = training.blocks_for_training(compact, settings, Q.VECTOR)
     run = training.train(data, settings)
     data.unpersist()
     epochs = run.epoch_metrics.orderBy("epoch").collect()

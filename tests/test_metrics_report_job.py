@@ -30,9 +30,9 @@ def at(second):
 def epochs(spark):
     grad = (0.5, -0.25, 0.75, 0.125, 0.0625)
     rows = [
-        (1, 0.039029, 0.0, None, None, grad, 0.001, at(0), at(2)),
-        (2, 0.00953, 100.0, 0.25, 50.0, grad, 0.001, at(2), at(10)),
-        (3, None, None, None, None, None, 0.001, at(10), at(11)),
+        (1, 0.039029, 0.0, None, None, grad, 0.001, at(0), at(2), at(3)),
+        (2, 0.00953, 100.0, 0.25, 50.0, grad, 0.001, at(2), at(10), at(11)),
+        (3, None, None, None, None, None, 0.001, at(10), at(11), None),
     ]
     return spark.createDataFrame(rows, EPOCH_SCHEMA)
 
@@ -168,7 +168,8 @@ def test_report_file(spark, epochs, tmp_path):
 
 def test_shared_folder_follows_the_setting(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared_folder(spark) == (configured or spark.sparkContext.getCheckpointDir())
+    folder = configured or spark.sparkContext.getCheckpointDir()
+    assert shared_folder(spark) == (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.windrow")
 
 
 def write_vectors(path, n, width, token=lambda i: i):
@@ -180,7 +181,12 @@ def write_vectors(path, n, width, token=lambda i: i):
 def test_whole_job(spark, tmp_path):
     write_vectors(tmp_path / "vectors.txt", 60, 4, token=lambda i: i % 50)
     settings = Settings(window=3, vector=6, hidden=8, epochs=2)
-    done = run_job(spark, str(tmp_path / "vectors.txt"), str(tmp_path / "models"), str(tmp_path / "metrics"), settings)
+    where = [str(tmp_path / name) for name in ("vectors.txt", "models", "metrics")]
+    with pytest.raises(ValueError, match="4 wide, not 6"):
+        run_job(spark, *where, settings)
+    done = run_job(spark, *where, settings, fit=True, block_rows=5)
+    assert sum(r["n_rows"] for r in done.split_counts.collect()) == 57
+    assert done.partition_counts.agg(F.sum("cnt")).first()[0] == 57
     assert done.summary.first()["n_rows"] > 0
     assert done.run.epoch_metrics.where("loss is not null and val_loss is not null").count() == 2
     text = spark.read.text(done.report_path)

@@ -113,14 +113,22 @@ def _fit(rows: np.ndarray, width: int) -> np.ndarray:
     return np.pad(rows, ((0, 0), (0, width - rows.shape[1])))
 
 
-def mini_batches(parts: Iterator[Chunk], split: int, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The rows of one split in steps of ``size``, carried over the edges of the matrices."""
+def mini_batches(
+    parts: Iterator[Chunk], split: int, size: int, skip: int = 0
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The rows of one split in steps of ``size``, carried over the edges of the matrices.
+
+    ``skip`` rows of the split are left out at the beginning.
+    """
     held: list[tuple[np.ndarray, np.ndarray]] = []
     n_held = 0
     for features, labels, splits in parts:
         keep = splits == split
         if not keep.all():
             features, labels = features[keep], labels[keep]
+        if skip:
+            left = min(skip, len(features))
+            features, labels, skip = features[left:], labels[left:], skip - left
         at = 0
         while n_held + len(features) - at >= size:
             take = size - n_held

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from windrow.functions import vectors as V
 from windrow.functions.hashing import hash_vector
 from windrow.operators.arrow_examples import code_matrix, write_windows
-from windrow.operators.lookup import BROADCAST_BYTES, attach_broadcast, attach_shuffled, fits_broadcast
+from windrow.operators.lookup import BROADCAST_BYTES, _attach_broadcast, attach_shuffled, check_unique, fits_broadcast
 from windrow.operators.windows import (
     BLOCK_ROWS,
     assign_blocks,
@@ -137,8 +137,9 @@ def compact_from_lookup(
     there, so that only tokens are shuffled. A larger lookup is joined before, and vectors move.
     """
     placed = assign_blocks(tokens.select(*seq, pos, token), width, pos, block_rows)
+    check_unique(vocabulary, token)
     if fits_broadcast(vocabulary, broadcast_bytes, vector_width, token):
-        rows = attach_broadcast(placed.repartition(*seq, "_block"), vocabulary, token)
+        rows = _attach_broadcast(placed.repartition(*seq, "_block"), vocabulary, token)
     else:
         rows = attach_shuffled(placed, vocabulary, token)
     blocks = gather_blocks(rows, width, "embedding", seq, pos, block_rows)

@@ -106,6 +106,10 @@ def _ranged(df: DataFrame, seq: list[str], name: str, levels: int, bits: int) ->
 
 
 def _sum_before(groups: list[str], key: str) -> Column:
-    window = Window.partitionBy(*groups or [F.lit(0)]).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    total = F.coalesce(F.sum("_w").over(window), F.lit(0).cast("bigint"))
+    ordered = Window.partitionBy(*groups or [F.lit(0)]).orderBy(key)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    total = F.coalesce(F.sum("_w").over(before), F.lit(0).cast("bigint"))
+    # Rows that tie would be numbered in any order, and in another one when they are computed again.
+    tie = F.lag(key).over(ordered) == F.col(key)
+    total = F.when(tie, F.raise_error(F.lit("rows of a sequence have the same order")).cast("bigint")).otherwise(total)
     return F.when(F.col(key).isNotNull(), total)

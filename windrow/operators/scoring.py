@@ -29,7 +29,8 @@ def predict(
     """Adds ``pred array<double>`` to every row; features are fitted to the model's input width."""
     ship_package(examples.sparkSession)
     sizes = P.sizes_of(parameters)
-    handle = P.deliver(parameters, sizes, broadcast_bytes)
+    # A forward pass needs no optimizer.
+    handle = P.deliver(parameters.where("state = 'value'"), sizes, broadcast_bytes)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = None

@@ -262,6 +262,11 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, {split_index("doc_id", (0.8,), 42)} AS split,
             {split_index("doc_id", (0.5, 0.8), 7)} AS split_of_three FROM documents""",
     "capped_sample": "SELECT event_id, user_id, event_type FROM events ORDER BY ts, event_id LIMIT 1000",
+    "rows_per_partition": f"""
+        WITH n AS (SELECT greatest(1, -(-count(*) // 1000)) AS n FROM events),
+        placed AS (SELECT floor({unit("'3:' || event_id")} * (SELECT n FROM n))::INT AS place FROM events)
+        SELECT b::INT AS partition, count(place) AS cnt
+        FROM (SELECT unnest(range((SELECT n FROM n))) AS b) LEFT JOIN placed ON place = b GROUP BY b""",
     "rows_per_bucket": """
         SELECT b::INT AS partition, count(d.bucket) AS cnt FROM range(32) r(b)
         LEFT JOIN (SELECT replace(source, 'src', '')::INT AS bucket FROM documents) d ON d.bucket = b
@@ -317,6 +322,7 @@ ORACLE: dict[str, str] = {
     "duration_texts": f"""
         SELECT event_id, {duration("ms")} AS duration
         FROM (SELECT event_id, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 1000 AS ms FROM events)""",
+    "model_round_trip": f"SELECT start, {as_text('pred')} AS pred FROM ({MADE_PREDICTIONS})",
     "scored_predictions": f"SELECT start, {as_text('pred')} AS pred FROM ({MADE_PREDICTIONS})",
     "evaluated_splits": f"""
         SELECT split, count(*) AS n_rows, round(avg(e), 6) AS loss,

@@ -52,12 +52,12 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = partitions.spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = table(spark, sf_dir, "documents")
     return found.select("doc_id", words("text").alias("tokens"))
 
 
 def document_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = partitions.spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = table(spark, sf_dir, "documents")
     return found.select("doc_id", F.posexplode(words("text")).alias("pos", "token"))
 
 
@@ -170,16 +170,10 @@ def report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loss of a trained model before and after it was stored."""
-    run = _train_on_embeddings(spark, sf_dir, epochs=1)
-    path = model_store.write_model(run.parameters, run_folder(spark, "models"))
-    stored = model_store.read_model(spark, path)
-    rows = embedding_example_rows(spark, sf_dir)
-    both = None
-    for name, model in (("trained", run.parameters), ("stored", stored)):
-        found = scoring.loss(scoring.predict(rows, model)).select(F.lit(name).alias("model"), "loss")
-        both = found if both is None else both.unionByName(found)
-    return both
+    """Predictions of a model that was stored and read again."""
+    path = model_store.write_model(made_model(spark), run_folder(spark, "models"))
+    found = scoring.predict(embedding_example_rows(spark, sf_dir), model_store.read_model(spark, path))
+    return found.select("start", as_text("pred").alias("pred"))
 
 
 # Checks
@@ -366,11 +360,11 @@ def bucket_skew(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rows_per_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Filling of the partitions that document windows are spread over by their number."""
-    found = windows_from_arrays(documents(spark, sf_dir), WINDOW, "tokens", ["doc_id"])
-    rows = found.select("doc_id", "start")
-    laid = partitions.repartition_by_size(rows, "doc_id", "start", n_rows=rows.count())
-    return partitions.rows_per_partition(laid)
+    """Filling of the partitions that events are dealt to by a digest of their id, one per 1,000 rows."""
+    events = table(spark, sf_dir, "events").select("event_id")
+    n = partitions.partitions_for(events.count())
+    place = F.floor(hash_unit(3, "event_id") * n).cast("int")
+    return partitions.rows_per_partition(events.repartitionById(n, place))
 
 
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

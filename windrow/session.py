@@ -11,19 +11,12 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder, taken from ``spark.checkpoint.dir`` or the context.
+    """The cluster's shared folder: ``spark.checkpoint.dir`` or the context's, else one in the warehouse.
 
-    Only a local session without either gets a temporary folder; on a cluster such a folder
-    would be lost with its machine, so the missing setting is an error there.
+    The warehouse is the other place that all executors reach, whatever file system it is on.
     """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="windrow-"))
-    return context.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.windrow"
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
