@@ -15,7 +15,7 @@ from windrow.session import run_folder
 
 
 def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``node, root``: the smallest node reachable, for every node that has a link to another.
+    """``node, root``: the smallest node reachable, for every node that reaches a smaller one.
 
     ``a`` and ``b`` are integers. Links with a null and from a node to itself are ignored; the order
     and repetition of links don't matter; no links give no rows.

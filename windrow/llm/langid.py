@@ -138,7 +138,7 @@ def _normalised(weights: Column) -> Column:
 
 def _by_language(rows: DataFrame, by: str, n: int, name: str) -> DataFrame:
     """``by, name``: how many pages the text gives to each language."""
-    sums = [F.sum((F.col("text_lang_no") == i).cast("double")).alias(f"_{i}") for i in range(n)]
+    sums = [F.count_if(F.col("text_lang_no") == i).cast("double").alias(f"_{i}") for i in range(n)]
     return rows.groupBy(by).agg(*sums).select(by, F.array(*[F.col(f"_{i}") for i in range(n)]).alias(name))
 
 
