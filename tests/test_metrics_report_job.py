@@ -99,6 +99,7 @@ Peak Batch Time: 90.00 ms
 Total Parameters: 66
 Layer Sizes: 8 → 4 → 4 → 2
 Total Batches Processed: 3
+Average Processing Time per Batch: 40.00 ms
 Total Rows Processed: 50
 
 === Spark Execution Statistics ===

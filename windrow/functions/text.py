@@ -14,12 +14,13 @@ def words(text: Column | str) -> Column:
 
 def duration_text(ms: Column | str) -> Column:
     """Milliseconds as ``1h 2m 3s``, ``2m 3s`` or ``3s``, cut to whole seconds."""
-    m = F.col(ms) if isinstance(ms, str) else ms
-    seconds = F.floor(m / 1000)
-    minutes = F.floor(seconds / 60)
-    hours = F.floor(minutes / 60)
-    return (
-        F.when(hours > 0, F.format_string("%dh %dm %ds", hours, minutes % 60, seconds % 60))
-        .when(minutes > 0, F.format_string("%dm %ds", minutes, seconds % 60))
-        .otherwise(F.format_string("%ds", seconds))
-    )
+    column = F.col(ms) if isinstance(ms, str) else ms
+    whole = F.floor(column / 1000).cast("bigint")
+    # A unit is written if the duration reaches it, the smallest always; each counts up to the next one.
+    units = (("h", 3600, None), ("m", 60, 60), ("s", 1, 60))
+    parts = []
+    for name, size, limit in units:
+        count = F.floor(whole / size)
+        text = F.concat((count % limit if limit else count).cast("string"), F.lit(name))
+        parts.append(text if size == 1 else F.when(whole >= size, text))
+    return F.when(whole.isNotNull(), F.concat_ws(" ", *parts))

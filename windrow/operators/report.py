@@ -43,6 +43,7 @@ def report_lines(
         _line("Total Parameters: ", F.col("n_parameters").cast("string")),
         _line("Layer Sizes: ", F.array_join(F.col("layer_sizes").cast("array<string>"), " → ")),
         _line("Total Batches Processed: ", F.col("n_steps").cast("string")),
+        _number("Average Processing Time per Batch: ", TIME, "ms_per_step"),
         _line("Total Rows Processed: ", F.col("n_rows").cast("string")),
         F.lit(""),
     ]
@@ -93,6 +94,14 @@ def log_lines(epochs: DataFrame) -> DataFrame:
     return epochs.select("epoch", _log_line(head, figures))
 
 
+def gradient_log_lines(epochs: DataFrame) -> DataFrame:
+    """``epoch, line``: one log line for the last gradients of each epoch that has them."""
+    head = F.concat(F.lit("Epoch "), F.col("epoch").cast("string"), F.lit(" Gradient Statistics"))
+    names = {"Norm": "norm", "Min": "min", "Max": "max", "Mean": "mean", "Std Dev": "std"}
+    figures = [(name, LOSS, F.col(f"grad.{field}")) for name, field in names.items()]
+    return epochs.where("grad is not null").select("epoch", _log_line(head, figures))
+
+
 def batch_log_lines(batches: DataFrame) -> DataFrame:
     """``epoch, worker, line``: one log line a task of a round."""
     head = F.format_string("Epoch %d, worker %d", "epoch", "worker")

@@ -196,6 +196,15 @@ DOCUMENT_EXAMPLES = f"""
         {as_text("target")} AS label
     FROM ({row_windows("vectors", 4, "v", "i", "doc_id")}), codes"""
 
+EVENT_RUN = """
+    SELECT (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000 AS total_ms, count(DISTINCT day(ts)) AS n_epochs,
+        100 * avg((event_type = 'click')::INT::DOUBLE) AS accuracy, avg(value) AS loss,
+        sum(round(value * 100)::BIGINT)::DOUBLE / count(*) AS ms_per_step,
+        sum(round(value * 100)::BIGINT)::DOUBLE / sum(length(props)) AS ms_per_row,
+        max(round(value * 100)::BIGINT) AS peak_ms, count(*) AS n_steps, sum(length(props))::BIGINT AS n_rows,
+        count(DISTINCT event_type) AS n_partitions, max(value) AS skew_pct
+    FROM events"""
+
 ORACLE: dict[str, str] = {
     "vector_file_scan": f"""SELECT row_number() OVER (ORDER BY vec_id) - 1 AS pos, vec_id::INT AS token,
         {as_text(DOUBLES)} AS embedding FROM embeddings""",
@@ -319,6 +328,43 @@ ORACLE: dict[str, str] = {
             || '; Learning Rate: ' || {fixed('learning_rate', 6)}
             || '; Duration: ' || ms || 'ms' AS line
         FROM ({DAY_EPOCHS})""",
+    "gradient_log_lines": f"""
+        SELECT epoch, 'Epoch ' || epoch || ' Gradient Statistics; Norm: ' || {fixed('norm', 6)} || '; Min: '
+            || {fixed('low', 6)} || '; Max: ' || {fixed('high', 6)} || '; Mean: ' || {fixed('mean', 6)}
+            || '; Std Dev: ' || {fixed('std', 6)} AS line
+        FROM (
+            SELECT day(ts)::INT AS epoch, sqrt(sum(value * value)) AS norm, min(value) AS low, max(value) AS high,
+                avg(value) AS mean, stddev_pop(value) AS std FROM events GROUP BY 1)""",
+    "run_report": f"""
+        WITH run AS ({EVENT_RUN}),
+        lines AS (
+            SELECT unnest([
+                '=== Training Metrics Report ===', 'Generated: 2024-11-03_00-08-04', '',
+                '=== Training Summary ===', 'Total Duration: ' || {duration('total_ms')}, 'Total Epochs: ' || n_epochs,
+                'Final Training Accuracy: ' || {fixed('accuracy', 2, '%%')}, NULL, 'Final Loss: ' || {fixed('loss', 6)}, NULL,
+                'Average Batch Time: ' || {fixed('ms_per_step', 2)} || ' ms',
+                'Average Row Time: ' || {fixed('ms_per_row', 2)} || ' ms',
+                'Peak Batch Time: ' || {fixed('peak_ms::DOUBLE', 2)} || ' ms', '',
+                '=== Model Statistics ===', 'Total Parameters: ' || n_rows, 'Layer Sizes: 8 → 4',
+                'Total Batches Processed: ' || n_steps,
+                'Average Processing Time per Batch: ' || {fixed('ms_per_step', 2)} || ' ms',
+                'Total Rows Processed: ' || n_rows, '',
+                '=== Spark Execution Statistics ===', 'Data Partitions: ' || n_partitions,
+                'Data Partition Skew: ' || {fixed('skew_pct', 2, '%%')}, '', '=== Epoch Details ==='
+            ]) AS line, unnest(range(26))::INT AS n FROM run)
+        SELECT 0 AS section, 0 AS item, n, line FROM lines WHERE line IS NOT NULL
+        UNION ALL SELECT 1 AS section, item, n, line FROM ({REPORT})""",
+    "run_log_lines": f"""
+        SELECT 'Training Complete; Total Duration: ' || total_ms || 'ms; Average Batch Time: ' || {fixed('ms_per_step', 2)}
+            || 'ms; Peak Batch Time: ' || peak_ms || 'ms; Total Parameters: ' || n_rows || '; Batches Processed: '
+            || n_steps || '; Partition Skew: ' || {fixed('skew_pct', 2, '%%')} AS line
+        FROM ({EVENT_RUN})""",
+    "batch_log_lines": f"""
+        SELECT epoch, worker, 'Epoch ' || epoch || ', worker ' || worker || '; Steps: ' || steps || '; Rows: ' || rows
+            || '; Loss: ' || {fixed('loss', 6)} || '; Time: ' || ms || 'ms' AS line
+        FROM (
+            SELECT day(ts)::INT AS epoch, user_id AS worker, count(*) AS steps, sum(length(props))::BIGINT AS rows,
+                avg(value) AS loss, sum(round(value * 100)::BIGINT)::BIGINT AS ms FROM events GROUP BY 1, 2)""",
     "duration_texts": f"""
         SELECT event_id, {duration("ms")} AS duration
         FROM (SELECT event_id, (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 1000 AS ms FROM events)""",

@@ -438,6 +438,54 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.log_lines(day_epochs(spark, sf_dir))
 
 
+def gradient_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.gradient_log_lines(day_epochs(spark, sf_dir))
+
+
+def event_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events standing in for a run: its row of figures, those of a validation absent."""
+    batches = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    ms, rows = F.round(F.col("value") * 100).cast("bigint"), F.length("props").cast("bigint")
+    none = F.lit(None).cast("double")
+    return batches.agg(
+        F.timestamp_diff("MILLISECOND", F.min("ts"), F.max("ts")).alias("total_ms"),
+        F.count_distinct(F.dayofmonth("ts")).alias("n_epochs"),
+        (100.0 * F.avg((F.col("event_type") == "click").cast("double"))).alias("accuracy"),
+        F.avg("value").alias("loss"),
+        (F.sum(ms) / F.count("*")).alias("ms_per_step"),
+        (F.sum(ms) / F.sum(rows)).alias("ms_per_row"),
+        F.max(ms).alias("peak_ms"),
+        F.count("*").alias("n_steps"),
+        F.sum(rows).alias("n_rows"),
+        F.sum(rows).alias("n_parameters"),
+        F.count_distinct("event_type").alias("n_partitions"),
+        F.max("value").alias("skew_pct"),
+    ).select("*", none.alias("val_accuracy"), none.alias("val_loss"), F.array(F.lit(8), F.lit(4)).alias("layer_sizes"))
+
+
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole report: the sections of the run and those of its epochs."""
+    made = F.lit("2024-11-03_00-08-04")
+    return report.report_lines(day_epochs(spark, sf_dir), event_run(spark, sf_dir), generated=made)
+
+
+def run_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.run_log_lines(event_run(spark, sf_dir))
+
+
+def batch_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's users standing in for the workers of an epoch."""
+    day = F.dayofmonth(F.col("ts").cast("timestamp"))
+    events = table(spark, sf_dir, "events").groupBy(day.alias("epoch"), F.col("user_id").alias("worker"))
+    batches = events.agg(
+        F.count("*").alias("steps"),
+        F.sum(F.length("props")).alias("rows"),
+        F.avg("value").alias("loss"),
+        F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("ms"),
+    )
+    return report.batch_log_lines(batches)
+
+
 def duration_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     ms = F.timestamp_diff("MILLISECOND", F.lit("2024-01-01").cast("timestamp"), F.col("ts").cast("timestamp"))
@@ -585,6 +633,10 @@ QUERIES: dict[str, Query] = {
         nested_peaks,
         report_lines,
         log_lines,
+        gradient_log_lines,
+        run_report,
+        run_log_lines,
+        batch_log_lines,
         duration_texts,
         epoch_metrics,
         batch_metrics,
