@@ -134,9 +134,10 @@ def main() -> None:
     run_all(Q.table(spark, SF_DIR, "events"))
     seconds, details = {}, {}
     for name, query in QUERIES.items():
-        # Once to warm up, then the median of three runs; of long ones a single run.
-        took = [_timed(query, spark)[0]]
-        runs = [_timed(query, spark) for _ in range(3 if took[0] < LONG_SEC else 1)]
+        # Once to warm up, then the median of three runs; long ones run once.
+        runs = [_timed(query, spark)]
+        if runs[0][0] < LONG_SEC:
+            runs = [_timed(query, spark) for _ in range(3)]
         seconds[name] = round(statistics.median(t for t, _ in runs), 3)
         detail = runs[-1][1]
         if detail:
