@@ -126,6 +126,86 @@ MADE_PREDICTIONS = f"""
     second AS (SELECT start, label, {relu(dense("x", 1, 64))} AS x FROM first, model)
     SELECT start, label, {dense("x", 2, 64)} AS pred FROM second, model"""
 
+def made_inputs(layer: int, rows: int, cols: int) -> str:
+    """The same weights as a list over inputs, for the way back."""
+    value = unit(f"'7:{layer}:weight:' || (i * {cols} + j)::VARCHAR")
+    return (
+        f"(SELECT list_transform(range({rows}), lambda i: list_transform(range({cols}), "
+        f"lambda j: ({value} - 0.5::DOUBLE) * 0.2::DOUBLE)))"
+    )
+
+
+def behind(error: str, layer: int, rows: int, active: str) -> str:
+    """The error of a layer's inputs, where they were active."""
+    return (
+        f"list_transform(range({rows}), lambda i: CASE WHEN {active}[i + 1] > 0 "
+        f"THEN list_inner_product({error}, t{layer}[i + 1]) ELSE 0::DOUBLE END)"
+    )
+
+
+def gradient(layer: int, rows: int, cols: int, x: str, error: str) -> str:
+    """``layer, kind, place, g`` summed over the training rows."""
+    return f"""
+        SELECT {layer} AS layer, 'weight' AS kind, i * {cols} + j AS place, sum({x}[i + 1] * {error}[j + 1]) AS g
+        FROM backward, range({rows}) r(i), range({cols}) c(j) GROUP BY 3
+        UNION ALL SELECT {layer}, 'bias', j, sum({error}[j + 1]) FROM backward, range({cols}) c(j) GROUP BY 3"""
+
+
+#: One step of Adam from the made model: its first one has the length of the rate, but for tiny gradients.
+ONE_STEP = f"""
+    model AS MATERIALIZED (SELECT {made_weights(0, 256, 64)} AS w0, {made_biases(0, 64)} AS b0,
+        {made_weights(1, 64, 64)} AS w1, {made_biases(1, 64)} AS b1, {made_inputs(1, 64, 64)} AS t1,
+        {made_weights(2, 64, 64)} AS w2, {made_biases(2, 64)} AS b2, {made_inputs(2, 64, 64)} AS t2),
+    examples AS MATERIALIZED (
+        SELECT *, {split_index("start", (0.8,), 42)} AS split FROM ({EMBEDDING_EXAMPLES})
+    ),
+    first AS (SELECT *, {relu(dense("features", 0, 64))} AS x1 FROM examples, model WHERE split = 0),
+    second AS (SELECT *, {relu(dense("x1", 1, 64))} AS x2 FROM first),
+    third AS (SELECT *, {dense("x2", 2, 64)} AS pred, count(*) OVER () AS n FROM second),
+    missed AS (
+        SELECT *, list_transform(list_zip(pred, label), lambda p: (p[1] - p[2]) * 2::DOUBLE / (n * 64)) AS e2 FROM third
+    ),
+    middle AS (SELECT *, {behind("e2", 2, 64, "x2")} AS e1 FROM missed),
+    backward AS MATERIALIZED (
+        SELECT features, x1, x2, e1, e2, {behind("e1", 1, 64, "x1")} AS e0,
+            list_avg(list_transform(list_zip(pred, label), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS loss
+        FROM middle
+    ),
+    gradients AS MATERIALIZED (
+        {gradient(0, 256, 64, "features", "e0")} UNION ALL {gradient(1, 64, 64, "x1", "e1")}
+        UNION ALL {gradient(2, 64, 64, "x2", "e2")}
+    ),
+    stepped AS MATERIALIZED (
+        SELECT layer, kind, place, ({unit("'7:' || layer || ':' || kind || ':' || place")} - 0.5::DOUBLE) * 0.2::DOUBLE
+            - 0.001::DOUBLE * g / (abs(g) + 1e-8::DOUBLE) AS x
+        FROM gradients
+    )"""
+
+
+def stepped_weights(layer: int) -> str:
+    return (
+        f"(SELECT list(unit ORDER BY j) FROM (SELECT place % 64 AS j, list(x ORDER BY place) AS unit "
+        f"FROM stepped WHERE layer = {layer} AND kind = 'weight' GROUP BY 1))"
+    )
+
+
+def stepped_biases(layer: int) -> str:
+    return f"(SELECT list(x ORDER BY place) FROM stepped WHERE layer = {layer} AND kind = 'bias')"
+
+
+STEPPED_PREDICTIONS = f"""
+    again AS MATERIALIZED (SELECT {", ".join(
+        f"{stepped_weights(i)} AS w{i}, {stepped_biases(i)} AS b{i}" for i in range(3)
+    )}),
+    one AS (SELECT split, label, {relu(dense("features", 0, 64))} AS x FROM examples, again),
+    two AS (SELECT split, label, {relu(dense("x", 1, 64))} AS x FROM one, again),
+    three AS (SELECT split, label, {dense("x", 2, 64)} AS pred FROM two, again),
+    judged AS (
+        SELECT split, {COSINE} > 0.1 AS hit,
+            list_avg(list_transform(list_zip(pred, label), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS e
+        FROM three
+    )"""
+
 DAY_EPOCHS = """
     SELECT dayofmonth(ts)::INT AS epoch,
         avg(value) AS loss,
@@ -376,6 +456,22 @@ ORACLE: dict[str, str] = {
         FROM (SELECT {split_index("start", (0.8,), 42)} AS split, {COSINE} AS c,
                 list_avg(list_transform(list_zip(pred, label), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS e
             FROM ({MADE_PREDICTIONS})) GROUP BY split""",
+    "trained_parameters": f"""
+        WITH {ONE_STEP}
+        SELECT layer::INT AS layer, kind, place::INT AS place, round(x, 6) AS x FROM stepped""",
+    "trained_batches": f"""
+        WITH {ONE_STEP}
+        SELECT 1 AS epoch, 0 AS round, 1::BIGINT AS steps, (SELECT count(*) FROM backward) AS rows,
+            round((SELECT avg(loss) FROM backward), 6) AS loss,
+            round((SELECT sqrt(sum(g * g)) FROM gradients), 6) AS norm""",
+    "trained_epochs": f"""
+        WITH {ONE_STEP}, {STEPPED_PREDICTIONS}
+        SELECT 1 AS epoch, round(avg(e) FILTER (split = 0), 6) AS loss,
+            round(100 * avg(hit::INT::DOUBLE) FILTER (split = 0), 6) AS accuracy,
+            round(avg(e) FILTER (split = 1), 6) AS val_loss,
+            round(100 * avg(hit::INT::DOUBLE) FILTER (split = 1), 6) AS val_accuracy,
+            0.001::DOUBLE AS learning_rate
+        FROM judged""",
     "trained_rows": f"""
         SELECT epoch::INT AS epoch, count(*) AS n_rows
         FROM (SELECT {split_index("doc_id || ':' || start", (0.8,), 42)} AS split FROM ({DOCUMENT_WINDOWS})),

@@ -548,6 +548,38 @@ def evaluated_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("split", "n_rows", six(F.col("loss")).alias("loss"), six(F.col("accuracy")).alias("accuracy"))
 
 
+def _one_step(spark: SparkSession, sf_dir: str) -> training.TrainingRun:
+    """One step of one worker over all training rows, from the made model."""
+    settings = training.Settings(
+        WINDOW, VECTOR, hidden=VECTOR, epochs=1, batch=1 << 30, workers=1, threshold=0.1
+    )
+    data = training.blocks_for_training(embedding_compact(spark, sf_dir, block_rows=32), settings)
+    run = training.train(data, settings, start=made_model(spark))
+    data.unpersist()
+    return run
+
+
+def trained_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = _one_step(spark, sf_dir).parameters.where("state = 'value'")
+    return values.select("layer", "kind", "slice_id", F.posexplode("vals").alias("pos", "x")).select(
+        "layer", "kind", (F.col("slice_id") * P.SLICE + F.col("pos")).alias("place"), six(F.col("x")).alias("x")
+    )
+
+
+def trained_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _one_step(spark, sf_dir).batch_metrics
+    return found.select(
+        "epoch", "round", "steps", "rows", six(F.col("loss")).alias("loss"), six(F.col("grad.norm")).alias("norm")
+    )
+
+
+def trained_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loss and hit rate of both splits after the step."""
+    found = _one_step(spark, sf_dir).epoch_metrics
+    figures = ("loss", "accuracy", "val_loss", "val_accuracy")
+    return found.select("epoch", *[six(F.col(c)).alias(c) for c in figures], "learning_rate")
+
+
 def trained_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that the tasks of each epoch trained on."""
     found = train_on_documents(spark, sf_dir).batch_metrics
@@ -644,6 +676,9 @@ QUERIES: dict[str, Query] = {
         predictions,
         scored_predictions,
         evaluated_splits,
+        trained_parameters,
+        trained_batches,
+        trained_epochs,
         trained_rows,
         model_statistics,
     )
