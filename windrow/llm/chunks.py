@@ -10,9 +10,10 @@ table is bucketed by chunk: answers travel to their chunk, texts are never shuff
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from windrow.session import run_folder, ship_package
 
 #: Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 2 << 20
 #: Spark's own limit to the number of buckets.
 MOST_BUCKETS = 100_000
 CHUNK_SCHEMA = "chunk bigint, rows binary"
@@ -43,15 +44,17 @@ class Chunks:
     n_buckets: int
 
 
-def to_chunks(documents: DataFrame, key: str, text: str, chunk_bytes: int = CHUNK_BYTES) -> Chunks:
+def to_chunks(
+    documents: DataFrame, key: str, text: str, carry: Sequence[str] = (), chunk_bytes: int = CHUNK_BYTES
+) -> Chunks:
     """The table of chunks, written to the shared folder.
 
-    All columns travel along. In a chunk, rows are sorted by key (nulls first), then text.
+    Carried columns travel along. In a chunk, rows are sorted by key (nulls first), then text.
     """
     spark = documents.sparkSession
     ship_package(spark)
     keyed = documents.select(
-        F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"), F.struct(*documents.columns).alias("_row")
+        F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"), *carry
     )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,6 +72,7 @@ def to_chunks(documents: DataFrame, key: str, text: str, chunk_bytes: int = CHUN
                 if size >= chunk_bytes:
                     yield _chunk(held, number)
                     held, size, number = [], 0, number + 1
+                    give_back()
         if held:
             yield _chunk(held, number)
 
@@ -97,7 +101,7 @@ def _chunk(held: list[pa.RecordBatch], number: int) -> pa.RecordBatch:
 
 
 def rows_of(data: bytes) -> pa.Table:
-    """The documents of a chunk: ``_key``, ``_text`` and ``_row``."""
+    """The documents of a chunk: ``_key``, ``_text`` and what they carry."""
     return pa.ipc.open_stream(data).read_all()
 
 
@@ -163,10 +167,19 @@ def ask(keys: np.ndarray, bits: int, n_parts: int, chunk: int, **values: np.ndar
     return messages(chunk, parts, data)
 
 
+def give_back() -> None:
+    """Return what Arrow's pool and the C library hold, but don't use, to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Rows one at a time, so that no more than one chunk is unpacked."""
+    """Rows one at a time, so that no more than one chunk is unpacked; memory goes back in between."""
     for batch in batches:
         for i in range(batch.num_rows):
+            give_back()
             yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from windrow.llm import chunks as C
 from windrow.session import run_folder
 
-ORDER, BITS, CHUNK_BYTES = 2, 56, 8 << 20
+ORDER, BITS, CHUNK_BYTES = 2, 56, 4 << 20
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 #: What is stored for an n-gram: its (adjusted) count, and as a context the sum of counts behind it and
 #: how many of them are one, two, and three or more; for words the plain count, too.
@@ -97,7 +97,7 @@ class Tokens:
 
     def trained(self, rows: pa.Table, name: str) -> np.ndarray:
         """The token is predicted, and its document learnt from."""
-        flags = rows.column("_row").combine_chunks().field(name).fill_null(False).to_numpy(zero_copy_only=False)
+        flags = rows.column(name).combine_chunks().fill_null(False).to_numpy(zero_copy_only=False)
         return self.predicted & flags[self.document]
 
     def sums(self, m: int, at: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
@@ -245,8 +245,8 @@ def _scores(model: Model):
             base = np.log10((plain + 0.1) / (model.tokens + 0.1 * (model.vocabulary + 1)))
             yield pa.RecordBatch.from_pydict(
                 {
-                    "_key": rows.column("_row").combine_chunks().field("_k"),
-                    "learnt": rows.column("_row").combine_chunks().field("_train"),
+                    "_key": rows.column("_own").combine_chunks(),
+                    "learnt": rows.column("_train").combine_chunks(),
                     "n_tokens": np.bincount(of, minlength=n).astype(np.int64),
                     "n_known": np.bincount(of[plain > 0], minlength=n).astype(np.int64),
                     "base_score": np.bincount(of, base, minlength=n).astype(float),
@@ -272,7 +272,7 @@ def _answers(level: DataFrame) -> DataFrame:
 
 def _chunked(documents: DataFrame, key: str, text: str, learn: Column, chunk_bytes: int) -> C.Chunks:
     inner = documents.select(documents[key].alias("_k"), documents[text].alias("_t"), learn.alias("_train"))
-    return C.to_chunks(inner, "_k", "_t", chunk_bytes)
+    return C.to_chunks(inner.withColumn("_own", F.col("_k")), "_k", "_t", ("_own", "_train"), chunk_bytes)
 
 
 def _finish(chunks: C.Chunks, levels: dict[int, DataFrame], model: Model, key: str, key_type: str) -> DataFrame:

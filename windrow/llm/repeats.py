@@ -330,10 +330,11 @@ def remove(
     result: Callable[[Sequence, pa.Table, np.ndarray], pa.RecordBatch],
     key: str,
     text: str,
+    carry: tuple[str, ...],
     chunk_bytes: int,
 ) -> DataFrame:
     """``result(sequence, rows, removed)`` of every chunk."""
-    chunks = C.to_chunks(documents, key, text, chunk_bytes)
+    chunks = C.to_chunks(documents, key, text, carry, chunk_bytes)
     n_parts = C.parts_for(chunks.n_chunks)
     asked = chunks.frame.mapInArrow(requests(kind, n_parts), C.MESSAGE_SCHEMA)
     counted = C.meet(asked, n_parts, occurrences, C.ANSWER_SCHEMA)

@@ -96,5 +96,5 @@ def remove_repeats(
     kind = R.Kind(True, window, gram, True)
     schema = "_key bigint, n_words bigint, n_removed bigint, kept string"
     inner = documents.select(documents[key].alias("_k"), documents[text].alias("_t"))
-    found = R.remove(inner, kind, compare(window), schema, result, "_k", "_t", chunk_bytes)
+    found = R.remove(inner, kind, compare(window), schema, result, "_k", "_t", (), chunk_bytes)
     return found.withColumnRenamed("_key", key)

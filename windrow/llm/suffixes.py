@@ -145,14 +145,13 @@ def remove_repeats(
         offsets = np.concatenate([[0], left[sequence.ends]]).astype(np.int64)
         buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(sequence.bytes[~removed].tobytes())]
         kept = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers)
-        row = rows.column("_row").combine_chunks()
         columns = {
             "_key": rows.column("_key").combine_chunks(),
             "n_bytes": pa.array(sequence.length, pa.int64()),
             "n_removed": pa.array(gone[sequence.ends] - gone[sequence.begins], pa.int64()),
             "n_spans": pa.array(heads[sequence.ends] - heads[sequence.begins], pa.int64()),
             "kept": kept.cast(pa.binary()),
-            "_carried": row.field("_c"),
+            "_carried": rows.column("_c").combine_chunks(),
         }
         yield pa.RecordBatch.from_pydict(columns)
 
@@ -165,7 +164,7 @@ def remove_repeats(
     )
     carried = inner.schema["_c"].dataType.simpleString()
     schema = f"_key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, _carried {carried}"
-    found = R.remove(inner, kind, compare(window), schema, result, "_k", "_t", chunk_bytes)
+    found = R.remove(inner, kind, compare(window), schema, result, "_k", "_t", ("_c",), chunk_bytes)
     return found.select(
         F.col("_key").alias(key),
         *("n_bytes", "n_removed", "n_spans", "kept"),
