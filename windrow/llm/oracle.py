@@ -114,6 +114,46 @@ ORACLE: dict[str, str] = {
         SELECT query_id, rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
         WHERE rank <= 10""",
+    "op6_substring_dedup": f"""
+        WITH docs AS (SELECT doc_id, {WORDS} AS w FROM documents),
+        starts AS (SELECT doc_id, w, unnest(range(len(w) - 19)) AS i FROM docs WHERE len(w) > 19),
+        windows AS (SELECT doc_id, i, array_to_string(w[i + 1 : i + 20], ' ') AS words FROM starts),
+        later AS (
+            SELECT doc_id, i
+            FROM (SELECT *, row_number() OVER (PARTITION BY words ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1
+        ),
+        gone AS (SELECT DISTINCT doc_id, i + k AS place FROM later, (SELECT unnest(range(20)) AS k)),
+        placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS place FROM docs),
+        kept AS (
+            SELECT p.doc_id, count(g.place) AS n_removed,
+                   string_agg(word, ' ' ORDER BY p.place) FILTER (g.place IS NULL) AS words
+            FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.place = g.place GROUP BY 1
+        )
+        SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (doc_id)""",
+    "op8_suffix_dedup": """
+        WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        starts AS (SELECT doc_id, h, unnest(range(len(h) // 2 - 49)) AS i FROM docs WHERE len(h) > 99),
+        later AS (
+            SELECT doc_id, i
+            FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY substr(h, 2 * i + 1, 100)) AS first FROM starts)
+            WHERE first < doc_id
+        ),
+        marked AS (SELECT *, i > lag(i, 1, -100) OVER (PARTITION BY doc_id ORDER BY i) + 50 AS new FROM later),
+        numbered AS (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+        spans AS (SELECT doc_id, span, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY 1, 2),
+        parts AS (
+            SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS z,
+                   row_number() OVER (PARTITION BY doc_id ORDER BY a DESC) = 1 AS last FROM spans
+        ),
+        kept AS (
+            SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans,
+                   string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) || max(substr(h, 2 * b + 1)) FILTER (last) AS k
+            FROM parts JOIN docs USING (doc_id) GROUP BY 1
+        )
+        SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(k, h))) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (doc_id)""",
     "op10_quality_rules": f"""
         WITH {LEDGER}
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

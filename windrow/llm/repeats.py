@@ -69,6 +69,14 @@ def grams(units: np.ndarray, size: int) -> np.ndarray:
     return _combine(found[:n], units[size - 1 :][:n]) if size % 2 else found
 
 
+def keyed(hashes: np.ndarray) -> np.ndarray:
+    """Keys of minimisers. The smallest of many hashes is a small one: mixed again, keys fill their range evenly."""
+    x = hashes * B
+    x ^= x >> np.uint64(32)
+    x *= A
+    return x >> np.uint64(64 - BITS)
+
+
 def smallest(values: np.ndarray, width: int) -> np.ndarray:
     """The smallest of every ``width`` neighbouring values."""
     size = 1
@@ -121,7 +129,7 @@ class Sequence:
         kind, found = self.kind, []
         for _, units in self._segments():
             hashes = grams(units, kind.gram)
-            found.append(smallest(hashes, kind.window - kind.gram + 1) >> np.uint64(64 - BITS))
+            found.append(keyed(smallest(hashes, kind.window - kind.gram + 1)))
         values = np.concatenate([np.zeros(0, np.uint64), *found])
         # No window crosses the end of a document.
         inside = np.ones(len(values), bool)
@@ -149,7 +157,7 @@ class Sequence:
             return np.unique(values, return_counts=True)[1]
         found = [np.zeros(0, np.uint64)]
         for a, units in self._segments():
-            hashes = grams(units, self.kind.gram) >> np.uint64(64 - BITS)
+            hashes = keyed(grams(units, self.kind.gram))
             # The windows of the next segment overlap; its pieces are counted there.
             found.append(hashes[:SEGMENT] if a + SEGMENT <= self.n - self.kind.window else hashes)
         every, keys = np.sort(np.concatenate(found)), np.unique(values)
