@@ -177,3 +177,11 @@ def test_fit_examples(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0], [1.0])], "features array<double>, label array<double>")
     row = features.fit_examples(df, 2, 3).first()
     assert (row["features"], row["label"]) == ([1.0, 2.0], [1.0, 0.0, 0.0])
+
+
+def test_a_repeated_lookup_token_is_an_error(spark):
+    tokens = spark.createDataFrame([(0, "a"), (1, "b"), (2, "a")], "pos int, token string")
+    twice = spark.createDataFrame([("a", [1.0]), ("a", [2.0]), ("b", [3.0])], "token string, embedding array<double>")
+    for call in (lambda: lookup.attach_vectors(tokens, twice), lambda: features.compact_from_lookup(tokens, twice, 1, 1)):
+        with pytest.raises(ValueError, match="several vectors for token 'a'"):
+            call()

@@ -71,3 +71,10 @@ def test_no_group_grows_with_the_sequence(spark):
     assert len(windows) == 3
     assert sum("_range" in line for line in windows) == 2
     assert "_range" in windows[0]
+
+
+@pytest.mark.parametrize("bits", [2, 16])
+def test_ties_in_an_order_are_an_error(spark, bits):
+    df = spark.createDataFrame([(1, 0), (2, 0), (2, 0), (9, 0)], "key int, n int")
+    with pytest.raises(Exception, match="same order"):
+        dense_positions(df, "key", range_bits=bits).collect()
