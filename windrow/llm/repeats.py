@@ -51,24 +51,33 @@ class Piece:
     data: bytes
 
 
-def _combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    x = a * A + b
+_powers: dict[str, np.ndarray] = {}
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of an odd number and of its inverse, modulo 2^64; kept for the process."""
+    if len(_powers.get("up", ())) < n:
+        size = max(n, SEGMENT + 256)
+        for name, base in (("up", int(A)), ("down", pow(int(A), -1, 1 << 64))):
+            found = np.full(size, base, np.uint64)
+            found[0] = 1
+            _powers[name] = np.multiply.accumulate(found)
+    return _powers["up"][:n], _powers["down"][:n]
+
+
+def grams(units: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` neighbouring units: a polynomial from running sums, mixed at the end."""
+    up, down = powers(len(units))
+    sums = np.zeros(len(units) + 1, np.uint64)
+    np.cumsum(units * up, out=sums[1:])
+    x = sums[size:] - sums[:-size]
+    x *= down[: len(x)]
     x ^= x >> np.uint64(29)
     x *= B
     x ^= x >> np.uint64(32)
     return x
 
 
-def grams(units: np.ndarray, size: int) -> np.ndarray:
-    """A hash of every ``size`` neighbouring units."""
-    if size == 1:
-        return units
-    half = grams(units, size // 2)
-    n = len(units) - size + 1
-    found = _combine(half[: n + size % 2], half[size // 2 :][: n + size % 2])
-    return _combine(found[:n], units[size - 1 :][:n]) if size % 2 else found
-
-
 def keyed(hashes: np.ndarray) -> np.ndarray:
     """Keys of minimisers. The smallest of many hashes is a small one: mixed again, keys fill their range evenly."""
     x = hashes * B
@@ -238,16 +247,12 @@ class Candidates:
         self.at = ragged(start, length)
         run = np.repeat(np.arange(len(start)), length)
         hashes = sequence.hashes(self.at)
-        _, first, self.group = np.unique(hashes, return_index=True, return_inverse=True)
+        #: Of each window its group of equal ones, and of each group the place (in ``at``) of the first, which is sent.
+        self.group, self.sent = _first_of_equal(hashes)
         salt = 0
-        while not sequence.same(self.at, self.at[first][self.group]):  # different windows of one hash
+        while not sequence.same(self.at, self.at[self.sent][self.group]):  # different windows of one hash
             salt += 1
-            salted = sequence.hashes(self.at, salt)
-            _, first, self.group = np.unique(salted, return_index=True, return_inverse=True)
-        #: Places (in ``at``) of the windows that are sent: the first of equal ones.
-        self.sent = np.sort(first)
-        self.rank = np.empty(len(first), np.int64)
-        self.rank[np.argsort(first, kind="stable")] = np.arange(len(first))
+            self.group, self.sent = _first_of_equal(sequence.hashes(self.at, salt))
         at, run = self.at[self.sent], run[self.sent]
         hot = of_run[run] == 2
         begin = np.ones(len(at), bool)
@@ -262,6 +267,27 @@ class Candidates:
         self.place = ragged(head[self.order], self.n_windows[self.order])
 
 
+def _first_of_equal(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each hash the number of its group, and for each group its first place, ascending.
+
+    Sorted are the hashes' high bits with the place in the low ones. Two hashes that differ in the low
+    bits only can part a group; its parts are then compared by the bucket.
+    """
+    n = len(hashes)
+    low = np.uint64((1 << n.bit_length()) - 1)
+    place = (np.sort((hashes & ~low) | np.arange(n, dtype=np.uint64)) & low).astype(np.int64)
+    found = hashes[place]
+    new = np.ones(n, bool)
+    new[1:] = found[1:] != found[:-1]
+    first = place[new]
+    order = np.argsort(first)
+    number = np.empty(len(first), np.int64)
+    number[order] = np.arange(len(first))
+    group = np.empty(n, np.int64)
+    group[place] = number[np.cumsum(new) - 1]
+    return group, first[order]
+
+
 def packed(sequence: Sequence, found: Candidates, of: np.ndarray) -> bytes:
     """The strings of some pieces, with where they come from."""
     start, n = found.start[of], found.n_windows[of]
@@ -317,13 +343,13 @@ def removed_units(sequence: Sequence, found: Candidates, answers: list[dict] | N
     kind = sequence.kind
     earlier = np.zeros(len(found.sent), bool)
     earlier[found.place] = C.joined(answers, "u1").astype(bool)
-    first = found.sent[found.rank[found.group]]
+    first = found.sent[found.group]
     document = sequence.document(found.at)
     key, start = sequence.keys[document], found.at - sequence.begins[document]
     later = key != key[first]
     if kind.within:
         later |= start != start[first]
-    hit = found.at[later | earlier[found.rank[found.group]]]
+    hit = found.at[later | earlier[found.group]]
     edge = np.zeros(sequence.n + 1, np.int32)
     edge[hit] += 1
     np.add.at(edge, hit + kind.window, -1)

@@ -31,21 +31,21 @@ def suffix_order(data: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarr
     rank = np.zeros(len(at), np.int64)
     open_ = np.arange(len(at))
     for done in range(0, depth, STEP):
-        key = np.unique(rank[open_], return_inverse=True)[1] if done else np.zeros(len(open_), np.int64)
+        base, text = rank[open_], np.zeros(len(open_), np.int64)
         for k in range(done, min(done + STEP, depth)):
-            key = key << 8 | data[at[open_] + k]
-        _, name, size = np.unique(key, return_inverse=True, return_counts=True)
-        # Names count the suffixes before, so that ranks of closed groups stay in order.
-        before = np.cumsum(size) - size
-        base = rank[open_]
-        group = np.ones(len(open_), bool)
-        order = np.argsort(name, kind="stable")
-        group[1:] = base[order][1:] != base[order][:-1]
-        first = np.maximum.accumulate(np.where(group, np.arange(len(order)), 0))
-        offset = np.empty(len(open_), np.int64)
-        offset[order] = before[name[order]] - first
-        rank[open_] = base + offset
-        open_ = open_[size[name] > 1]
+            text = text << 8 | data[at[open_] + k]
+        small = len(at) < 1 << 23  # rank and bytes fit into one number
+        order = np.argsort(base << 40 | text, kind="stable") if small else np.lexsort((text, base))
+        base, text = base[order], text[order]
+        # A rank is the number of suffixes before: those of smaller groups, and of smaller bytes in the own one.
+        group = np.concatenate([[True], base[1:] != base[:-1]])
+        new = group | np.concatenate([[True], text[1:] != text[:-1]])
+        place = np.arange(len(order))
+        rank[open_[order]] = base + np.maximum.accumulate(np.where(new, place, 0)) - np.maximum.accumulate(
+            np.where(group, place, 0)
+        )
+        size = np.diff(np.append(np.flatnonzero(new), len(order)))
+        open_ = open_[order[np.repeat(size > 1, size)]]
         if not len(open_):
             break
     return np.argsort(rank, kind="stable"), rank
