@@ -20,7 +20,7 @@ from windrow.session import run_folder
 
 #: Stands for a null category.
 NONE = "(none)"
-TOLERANCE, SWEEPS = 1e-8, 50
+TOLERANCE, SWEEPS = 1e-8, 20
 
 
 def word_count(text: Column | str) -> Column:

@@ -98,7 +98,7 @@ def mixture(sweeps: int) -> str:
 
 ORACLE: dict[str, str] = {
     "op4_mixing": f"""
-        {mixture(15)}
+        {mixture(20)}
         SELECT r.*, round(weight, 6) AS weight, round(probability, 6) AS probability,
                ('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, '(none)')), 1, 8))::BIGINT / 4294967296::DOUBLE
                < probability AS sampled
