@@ -24,8 +24,8 @@ from windrow.llm import chunks as C
 
 BITS = 48
 HOT = 4096
-#: Positions that are hashed at a time.
-SEGMENT = 1 << 20
+#: Positions that are hashed at a time: their arrays fit into a core's cache.
+SEGMENT = 1 << 16
 FIRST_KEY = np.iinfo(np.int64).min
 A, B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
