@@ -10,7 +10,7 @@ So every link shows at an anchor. Links are thinned to a spanning forest before
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -110,8 +110,8 @@ def segments(max_bits: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(bounds, bounds[1:])]
 
 
-def members(prints: DataFrame, max_bits: int) -> DataFrame:
-    """``anchor, fp, home`` of distinct fingerprints: at every anchor they are replicated to."""
+def members(prints: DataFrame, max_bits: int, carry: Sequence[str] = ()) -> DataFrame:
+    """``anchor, fp, home, carry`` of distinct fingerprints: at every anchor they are replicated to."""
     cuts = segments(max_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,33 +124,37 @@ def members(prints: DataFrame, max_bits: int) -> DataFrame:
                     place, anchor = code.within_two(values)
                     home = np.zeros(len(place), bool)
                     home[: len(values)] = True  # the nearest ones come first
+                    others = {c: whole.column(c).slice(start, HASHES).take(pa.array(place)) for c in carry}
                     yield pa.RecordBatch.from_pydict(
-                        {"anchor": anchor | number << 40, "fp": fp[place], "home": home}
+                        {"anchor": anchor | number << 40, "fp": fp[place], "home": home} | others
                     )
 
-    return prints.select("fp").mapInArrow(run, "anchor bigint, fp bigint, home boolean")
+    inner = prints.select("fp", *carry)
+    types = "".join(f", {c} {inner.schema[c].dataType.simpleString()}" for c in carry)
+    return inner.mapInArrow(run, "anchor bigint, fp bigint, home boolean" + types)
 
 
-def _salted(rows: DataFrame) -> DataFrame:
+def _salted(rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Members of an anchor with many of its own are split: those by salt, visitors to every salt."""
     n_salts = F.ceil(F.count("*") / HOT).cast("int")
     hot = rows.where("home").groupBy("anchor").agg(n_salts.alias("n_salts")).where("n_salts > 1")
     n = F.coalesce("n_salts", F.lit(1))
     own = F.array(F.pmod(F.xxhash64("fp"), n).cast("int"))
     every = F.sequence(F.lit(0), n - 1)
-    both = rows.join(hot, "anchor", "left").select("anchor", "fp", "home", n.alias("n"), own.alias("own"), every.alias("e"))
-    return both.select("anchor", "fp", "own", "home", F.explode("e").alias("salt")).select(
-        "anchor", "salt", "fp", (F.col("home") & (F.get("own", F.lit(0)) == F.col("salt"))).alias("home")
+    both = rows.join(hot, "anchor", "left").select("anchor", "fp", "home", *carry, own.alias("own"), every.alias("e"))
+    return both.select("anchor", "fp", "own", "home", *carry, F.explode("e").alias("salt")).select(
+        "anchor", "salt", "fp", (F.col("home") & (F.get("own", F.lit(0)) == F.col("salt"))).alias("home"), *carry
     )
 
 
-def _links_at(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links at whole anchors; rows are sorted by anchor."""
+def _near_at(
+    anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of all links at whole anchors, some homes at a time; rows are sorted by anchor."""
     first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
     size = np.diff(np.append(first, len(anchor)))
     group = np.repeat(np.arange(len(first)), size)
     own = np.flatnonzero(home)
-    root, chosen = np.arange(len(fp)), []
     work = np.cumsum(size[group[own]])
     start = 0
     while start < len(own):
@@ -163,24 +167,41 @@ def _links_at(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: in
         right = np.repeat(first[group[h]] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
         differ = np.bitwise_count((fp[left] ^ fp[right]).view(np.uint64))
         near = (differ <= max_bits) & (differ > 0)
-        left, right = left[near], right[near]
+        yield left[near], right[near]
+
+
+def _links_at(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links at whole anchors; rows are sorted by anchor."""
+    root, chosen = np.arange(len(fp)), []
+    for left, right in _near_at(anchor, fp, home, max_bits):
         taken, root = local_forest(root, left, right)
         chosen.append(np.stack([fp[left[taken]], fp[right[taken]]]))
     return tuple(np.concatenate([np.zeros((2, 0), np.int64), *chosen], axis=1))
 
 
-def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``a, b``: pairs within ``max_bits``, as many as connect all that is linked at an anchor."""
-    rows = _salted(members(prints, max_bits))
+def links(prints: DataFrame, max_bits: int = MAX_BITS, apart: bool = False) -> DataFrame:
+    """``a, b``: pairs within ``max_bits``, as many as connect all that is linked at an anchor.
+
+    With ``apart``, all pairs instead but those known to be together: both not ``mixed``, of one ``root``.
+    """
+    carry = ("root", "mixed") if apart else ()
+    rows = _salted(members(prints, max_bits, carry), carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def compared(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        def compared(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             whole = pa.Table.from_batches(rows)
             group = whole.column("anchor").to_numpy() * 1000003 + whole.column("salt").to_numpy()
-            a, b = _links_at(group, whole.column("fp").to_numpy(), whole.column("home").to_numpy(), max_bits)
-            return pa.RecordBatch.from_pydict({"a": a, "b": b})
+            fp, home = whole.column("fp").to_numpy(), whole.column("home").to_numpy()
+            if not apart:
+                a, b = _links_at(group, fp, home, max_bits)
+                yield pa.RecordBatch.from_pydict({"a": a, "b": b})
+                return
+            root, mixed = whole.column("root").to_numpy(), whole.column("mixed").to_numpy()
+            for a, b in _near_at(group, fp, home, max_bits):
+                left = mixed[a] | mixed[b] | (root[a] != root[b])
+                yield pa.RecordBatch.from_pydict({"a": fp[a[left]], "b": fp[b[left]]})
 
         for batch in batches:
             # The last anchor of a batch may go on in the next one.
@@ -190,15 +211,15 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
                 last = held[-1]
                 end = (last.column("anchor")[-1].as_py(), last.column("salt")[-1].as_py())
                 if end != (marks[0, 0], marks[1, 0]):
-                    yield compared(held)
+                    yield from compared(held)
                     held = []
             cut = int(change[-1]) if len(change) else 0
             if cut:
-                yield compared([*held, batch.slice(0, cut)])
+                yield from compared([*held, batch.slice(0, cut)])
                 held = []
             held.append(batch.slice(cut))
         if held:
-            yield compared(held)
+            yield from compared(held)
 
     placed = rows.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
     return placed.mapInArrow(run, "a bigint, b bigint")
@@ -272,6 +293,38 @@ def similar(pairs: DataFrame, documents: DataFrame, key: str, text: str, shingle
     return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
 
 
+def _still_open(texts: DataFrame, pairs: DataFrame, alike: DataFrame, max_bits: int, folder: str) -> DataFrame:
+    """``a, b``: all pairs of texts within ``max_bits`` that are neither compared nor connected by ``alike``.
+
+    ``pairs`` connect all texts within ``max_bits``, so that pairs are missing only in groups of theirs that
+    ``alike`` leaves in several pieces; the others aren't searched again.
+    """
+    spark = texts.sparkSession
+    of = texts
+    for links_of, name in ((alike, "root"), (pairs, "group")):
+        found = connected(links_of).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        of = of.join(found, of["node"] == found["_node"], "left")
+        of = of.withColumn(name, F.coalesce("_root", "node")).drop("_node", "_root")
+    of.write.parquet(f"{folder}/pieces")
+    of = spark.read.parquet(f"{folder}/pieces")
+    parted = of.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    of.join(parted, "group", "left_semi").select("fp", "node", "root").write.parquet(f"{folder}/open")
+    of = spark.read.parquet(f"{folder}/open")
+    classes = of.groupBy("fp").agg(F.min("root").alias("root"), (F.min("root") != F.max("root")).alias("mixed"))
+    near = links(classes, max_bits, apart=True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    near = near.distinct().union(classes.where("mixed").select(F.col("fp").alias("a"), F.col("fp").alias("b")))
+    # Pieces before texts: a large piece doesn't meet itself.
+    for end in ("a", "b"):
+        pieces = of.select(F.col("fp").alias(end), F.col("root").alias(f"{end}_root")).distinct()
+        near = near.join(pieces, end)
+    near = near.where("a_root <> b_root")
+    for end in ("a", "b"):
+        members_of = of.select(F.col("fp").alias(end), F.col("root").alias(f"{end}_root"), F.col("node").alias(f"{end}_node"))
+        near = near.join(members_of, [end, f"{end}_root"])
+    found = near.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+    return found.join(pairs, ["a", "b"], "left_anti")
+
+
 def keep_first(
     documents: DataFrame,
     key: str = "doc_id",
@@ -284,7 +337,8 @@ def keep_first(
 
     Equal texts are duplicates. Texts whose fingerprints are equal or differ in up to ``max_bits`` bits
     are so if their sets of ``shingle`` words have at least that ``similarity``; chance neighbours
-    among very many fingerprints stay apart. A group is what such links connect. Null and empty texts
+    among very many fingerprints stay apart. A group is what all such links connect: few links are compared
+    first, then all others between texts that those leave apart. Null and empty texts
     are equal. Keys identify documents: of rows that repeat a key one stays; rows with a null key all
     stay. An empty table gives no rows.
     """
@@ -308,8 +362,11 @@ def keep_first(
     near = near.select(F.least("_a_key", "_b_key").alias("a"), F.greatest("_a_key", "_b_key").alias("b"))
     equal.union(near).where("a <> b").distinct().write.parquet(f"{folder}/pairs")
     pairs = spark.read.parquet(f"{folder}/pairs")
-    alike = similar(pairs, documents, key, text, shingle, similarity)
-    roots = connected(alike)
+    similar(pairs, documents, key, text, shingle, similarity).write.parquet(f"{folder}/alike")
+    alike = spark.read.parquet(f"{folder}/alike")
+    _still_open(texts, pairs, alike, max_bits, folder).write.parquet(f"{folder}/more")
+    more = similar(spark.read.parquet(f"{folder}/more"), documents, key, text, shingle, similarity)
+    roots = connected(alike.union(more))
     first = texts.join(roots, "node", "left").where(F.coalesce("root", "node") == F.col("node"))
     first = first.select(F.col("node").alias("_first")).distinct()
     kept = documents.join(first, documents[key] == first["_first"], "left_semi").dropDuplicates([key])
