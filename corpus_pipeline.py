@@ -14,6 +14,8 @@ from windrow.llm.queries import MIXTURE, TOKENIZER
 from windrow.session import run_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Tokens of the mixture, as a part of those that come to it.
+BUDGET = 1.0
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +43,12 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample of documents whose tokens have the target shares of sources, languages and topics."""
+    """Documents, some of them repeated, whose tokens have the target shares of sources, languages and topics.
+
+    Their number of tokens is expected to be ``BUDGET`` times that of the stage before.
+    """
     rows = docs.select(*COLUMNS).withColumns({"topic": mixing.genre("text"), "n_tokens": mixing.word_count("text")})
-    return mixing.mix(rows, MIXTURE).where("sampled").select(*COLUMNS)
+    return mixing.repeated(mixing.mix(rows, MIXTURE, budget=BUDGET)).select(*COLUMNS)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from windrow.llm import simhash
 
 
@@ -58,3 +59,15 @@ def test_keep_first_compares_texts_of_one_fingerprint_with_each_other(spark):
     assert len({simhash.fingerprint(t, 5) for t in texts}) == 1
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     assert {r["doc_id"] for r in simhash.keep_first(table).collect()} == {0, 1}
+
+
+def test_one_rare_document_does_not_set_the_rate_of_the_mixture(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(words(rng, 400)), "en", f"s{i % 2}", 0) for i in range(400)]
+    rows[7] = (7, " ".join(words(rng, 400)), "fr", "s0", 0)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    found = corpus_pipeline.mixture(spark, docs, "").persist()
+    n = found.count()
+    assert 0.9 * len(rows) < n < 1.1 * len(rows)
+    assert 0.2 < found.where("lang = 'fr'").count() / n < 0.35  # 0.2 to 0.5 of English
+    assert found.select("doc_id").distinct().count() > 200

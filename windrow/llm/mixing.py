@@ -21,6 +21,8 @@ from windrow.session import run_folder
 #: Stands for a null category.
 NONE = "(none)"
 TOLERANCE, SWEEPS = 1e-8, 20
+#: Copies of a document that one task makes.
+MOST_AT_ONCE = 64
 
 
 def word_count(text: Column | str) -> Column:
@@ -134,6 +136,19 @@ def probabilities(cells: DataFrame) -> DataFrame:
     )
 
 
+def expected_copies(cells: DataFrame, budget: float) -> DataFrame:
+    """The cells with ``probability``: weights scaled so that expected tokens are ``budget`` times those there are.
+
+    Above 1 it is a number of copies. Only cells with tokens set the scale; others get 1 at most.
+    """
+    held = F.sum(F.col("tokens") * F.col("weight"))
+    scale = cells.where("tokens > 0").agg(F.try_divide(F.lit(budget) * F.sum("tokens"), held).alias("scale"))
+    found = F.coalesce(F.col("weight") * F.col("scale"), F.lit(0.0))
+    return cells.crossJoin(F.broadcast(scale)).select(
+        *cells.columns, F.when(F.col("tokens") > 0, found).otherwise(F.least(found, F.lit(1.0))).alias("probability")
+    )
+
+
 def with_probability(documents: DataFrame, cells: DataFrame, margins: Sequence[str]) -> DataFrame:
     """The documents with ``weight`` and ``probability`` of their cell.
 
@@ -150,6 +165,24 @@ def sampled(key: str, probability: str = "probability", seed: int = 42) -> Colum
     return hash_unit(seed, category(key)) < F.col(probability)
 
 
+def copies(key: str, probability: str = "probability", seed: int = 42) -> Column:
+    """How often the document is in a sample with repeats: the whole part, and one more by its hashed key."""
+    whole = F.floor(probability)
+    return (whole + (hash_unit(seed, category(key)) < F.col(probability) - whole).cast("bigint")).cast("bigint")
+
+
+def repeated(documents: DataFrame, copies: str = "copies", key: str = "doc_id") -> DataFrame:
+    """Every document as often as ``copies`` says, with ``copy`` from 0. Large numbers are made in several tasks."""
+    few = documents.where(F.col(copies).between(1, MOST_AT_ONCE))
+    few = few.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(copies) - 1)))
+    n, low = F.lit(MOST_AT_ONCE), F.col("copy")
+    many = documents.where(F.col(copies) > MOST_AT_ONCE)
+    many = many.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(copies) - 1, n.cast("bigint"))))
+    many = many.repartition(key, "copy")
+    many = many.withColumn("copy", F.explode(F.sequence(low, F.least(low + n, F.col(copies)) - 1)))
+    return few.unionByName(many)
+
+
 def mix(
     documents: DataFrame,
     targets: Mapping[str, Callable[[DataFrame], DataFrame]],
@@ -157,20 +190,28 @@ def mix(
     tokens: str = "n_tokens",
     seed: int = 42,
     tolerance: float = TOLERANCE,
+    budget: float | None = None,
 ) -> DataFrame:
     """The documents with ``weight, probability, sampled``; margins are the keys of ``targets``.
 
+    Without a ``budget``, the cell with the largest weight is kept whole and sets the rate of all others.
+    With one, the sample's tokens are expected to be ``budget`` times the table's, whatever single cells
+    weigh; ``probability`` is then the expected number of copies, and ``copies`` is added, see ``repeated``.
+
     A target gets the table of cells and gives ``category, share``; see ``smoothed`` and ``fixed``.
     Null categories are one category, ``(none)``. Null token counts are zero. Repeated rows share one
     decision if they share a key. An empty table gives no rows. Columns that are no margins, key or
     token count pass through; ``weight``, ``probability`` and ``sampled`` are replaced if there.
     """
-    documents = documents.drop("weight", "probability", "sampled")
+    documents = documents.drop("weight", "probability", "sampled", *([] if budget is None else ["copies"]))
     margins = list(targets)
     spark = documents.sparkSession
     folder = run_folder(spark, "mixing")
     cells_of(documents, margins, tokens).write.parquet(f"{folder}/cells")
     cells = spark.read.parquet(f"{folder}/cells")
     goals = {margin: shares(cells) for margin, shares in targets.items()}
-    chances = probabilities(rake(cells, goals, tolerance))
-    return with_probability(documents, chances, margins).withColumn("sampled", sampled(key, seed=seed))
+    raked = rake(cells, goals, tolerance)
+    if budget is None:
+        return with_probability(documents, probabilities(raked), margins).withColumn("sampled", sampled(key, seed=seed))
+    found = with_probability(documents, expected_copies(raked, budget), margins).withColumn("copies", copies(key, seed=seed))
+    return found.withColumn("sampled", F.col("copies") > 0)
