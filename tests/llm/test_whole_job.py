@@ -1,11 +1,17 @@
 """Cases in which operators once did less than the whole job."""
 
+import os
 import random
+import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
+import brute
 import corpus_pipeline
-from windrow.llm import simhash
+from windrow.llm import queries, simhash
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 def words(rng, n, size=5000):
@@ -71,3 +77,12 @@ def test_one_rare_document_does_not_set_the_rate_of_the_mixture(spark):
     assert 0.9 * len(rows) < n < 1.1 * len(rows)
     assert 0.2 < found.where("lang = 'fr'").count() / n < 0.35  # 0.2 to 0.5 of English
     assert found.select("doc_id").distinct().count() > 200
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the generated tables")
+def test_registered_language_model_has_trigrams(spark):
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    learnt = [(r["doc_id"], r["text"], zlib.crc32(str(r["doc_id"]).encode()) % 10 != 0) for r in rows]
+    found = queries.op3_lm_scoring(spark, SF_DIR).select("doc_id", "score").collect()
+    want = sorted((w[0], w[5]) for w in brute.kneser_ney(learnt, 3))
+    assert sorted(map(tuple, found)) == [pytest.approx(w, rel=1e-9) for w in want]

@@ -18,6 +18,8 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
 #: One text in so many is not learnt from.
 HELD_OUT = 10
+#: Words of the language model's longest n-grams.
+LM_ORDER = 3
 #: Searches take as queries the rows whose id this divides.
 QUERY_STEP = 100
 #: Shares of tokens that the mixture aims at.
@@ -46,7 +48,8 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A null id is held out."""
     digest = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rows, _ = kneser_ney.learn_and_score(table(spark, sf_dir, "documents"), digest % HELD_OUT != 0)
+    learn = digest % HELD_OUT != 0
+    rows, _ = kneser_ney.learn_and_score(table(spark, sf_dir, "documents"), learn, order=LM_ORDER)
     return rows.select(
         "doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
