@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 import brute
 import corpus_pipeline
 from windrow.llm import queries, simhash
+from windrow.operators import training
+from windrow.plans import queries as plans
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -86,3 +88,21 @@ def test_registered_language_model_has_trigrams(spark):
     found = queries.op3_lm_scoring(spark, SF_DIR).select("doc_id", "score").collect()
     want = sorted((w[0], w[5]) for w in brute.kneser_ney(learnt, 3))
     assert sorted(map(tuple, found)) == [pytest.approx(w, rel=1e-9) for w in want]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the generated tables")
+def test_a_step_over_all_rows_is_the_same_by_several_workers(spark):
+    found = []
+    for how in ({"batch": 1 << 30, "workers": 1}, {"batch": 7, "workers": 5, "full_batch": True}):
+        settings = training.Settings(plans.WINDOW, plans.VECTOR, hidden=plans.VECTOR, epochs=1, threshold=0.1, **how)
+        data = training.blocks_for_training(plans.embedding_compact(spark, SF_DIR, block_rows=8), settings)
+        assert data.frame.where("_own > 0").groupBy(F.spark_partition_id()).count().count() == how["workers"]
+        run = training.train(data, settings, start=plans.made_model(spark))
+        values = {(r["state"], r["layer"], r["kind"], r["slice_id"]): r["vals"] for r in run.parameters.collect()}
+        metrics = run.batch_metrics.collect()
+        assert [r["steps"] for r in metrics] == [1]
+        found.append((values, metrics[0]["rows"], metrics[0]["loss"], run.epochs[0][5]))
+    (one, *whole), (several, *parts) = found
+    assert one.keys() == several.keys()
+    assert all(several[k] == pytest.approx(one[k], rel=1e-6, abs=1e-9) for k in one)
+    assert parts[:2] == pytest.approx(whole[:2]) and parts[2] == pytest.approx(whole[2], rel=1e-6, abs=1e-12)

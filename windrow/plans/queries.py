@@ -549,9 +549,9 @@ def evaluated_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _one_step(spark: SparkSession, sf_dir: str) -> training.TrainingRun:
-    """One step of one worker over all training rows, from the made model."""
+    """One step over all training rows, from the made model."""
     settings = training.Settings(
-        WINDOW, VECTOR, hidden=VECTOR, epochs=1, batch=1 << 30, workers=1, threshold=0.1
+        WINDOW, VECTOR, hidden=VECTOR, epochs=1, batch=1024, full_batch=True, threshold=0.1
     )
     data = training.blocks_for_training(embedding_compact(spark, sf_dir, block_rows=32), settings)
     run = training.train(data, settings, start=made_model(spark))
