@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, kneser_ney, langid, mixing, quality, simhash, substrings, suffixes, topk
+from windrow.llm import bpe, kneser_ney, langid, mixing, quality, sentence_pieces, simhash, substrings, suffixes, topk
 from windrow.llm import token_counts as counts
 from windrow.llm.text import table
 from windrow.session import run_folder
 
 #: Where the tokenizer of the queries lies; the file itself stays outside this package.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 1024
 #: One text in so many is not learnt from.
 HELD_OUT = 10
@@ -109,6 +110,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sentence_pieces.round_trip(table(spark, sf_dir, "documents"), PIECES)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_language_id": op2_language_id,
@@ -120,4 +132,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "op12_sentence_pieces": op12_sentence_pieces,
 }
