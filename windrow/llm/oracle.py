@@ -160,4 +160,42 @@ ORACLE: dict[str, str] = {
                (failed_bits & 3) <> 0 AS base_failed, (failed_bits & 15) = 0 AS kept,
                n_lines, n_upper, n_letters, failed_bits
         FROM ledger""",
+    "op13_filter_audit": rf"""
+        WITH letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS l(letter, bit)),
+        orders AS (
+            SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+                   [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+            FROM letters a JOIN letters b ON b.bit <> a.bit JOIN letters c ON c.bit NOT IN (a.bit, b.bit)
+            JOIN letters d ON d.bit NOT IN (a.bit, b.bit, c.bit)
+            JOIN letters e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)
+        ),
+        steps AS (
+            SELECT filter_order, step::INT AS step, bits[step] AS bit, coalesce(list_sum(bits[1 : step - 1]), 0)::BIGINT AS before
+            FROM (SELECT *, unnest(range(1, 6)) AS step FROM orders)
+        ),
+        marks AS (
+            SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+        ),
+        texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
+        masks AS (
+            SELECT doc_id, part,
+                   (len(w) < 200)::BIGINT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::BIGINT
+                   + 4 * (100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text))::BIGINT
+                   + 8 * regexp_matches(text, '[#$%&*|]')::BIGINT
+                   + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::BIGINT AS mask
+            FROM texts
+        ),
+        counters AS (
+            SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+            FROM masks LEFT JOIN marks USING (doc_id) GROUP BY part, mask
+        )
+        SELECT part, filter_order, step,
+               coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept,
+               coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS removed,
+               coalesce(sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0), 0)::BIGINT AS redundant,
+               coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+               coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS good_lost,
+               coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS toxic_lost,
+               coalesce(sum(n * 120 // bit_count(mask)) FILTER (mask & bit <> 0), 0)::BIGINT AS shapley
+        FROM counters, steps GROUP BY part, filter_order, step""",
 }

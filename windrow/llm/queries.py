@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, kneser_ney, langid, mixing, quality, sentence_pieces, simhash, substrings, suffixes, topk
+from windrow.llm import bpe, interactions, kneser_ney, langid, mixing, quality, sentence_pieces, simhash, substrings, suffixes, topk
 from windrow.llm import token_counts as counts
 from windrow.llm.text import table
 from windrow.session import run_folder
@@ -121,6 +121,10 @@ def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_language_id": op2_language_id,
@@ -133,4 +137,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
     "op12_sentence_pieces": op12_sentence_pieces,
+    "op13_filter_audit": op13_filter_audit,
 }
