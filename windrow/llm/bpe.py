@@ -59,7 +59,8 @@ def supports(file: str) -> bool:
 class Codec:
     """A byte-level tokenizer file, ready for encoding and decoding."""
 
-    def __init__(self, file: str):
+    def __init__(self, file: str, added: bool = True):
+        """Without ``added``, strings of added tokens in a text are plain text."""
         if not supports(file):
             raise ValueError("only byte-level BPE files without a normalizer are supported")
         spec = json.loads(file)
@@ -67,16 +68,16 @@ class Codec:
         letters = byte_letters()
         to_bytes = lambda token: bytes(letters[c] for c in token)
         vocabulary = model["vocab"]
-        added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.size = 1 + max([*vocabulary.values(), *added.values()])
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.size = 1 + max([*vocabulary.values(), *special.values()])
         tokens = [b""] * self.size
         for token, i in vocabulary.items():
-            if token not in added:
+            if token not in special:
                 tokens[i] = to_bytes(token)
-        for token, i in added.items():
+        for token, i in special.items():
             tokens[i] = token.encode()
         self.tokens = pa.array(tokens, pa.large_binary())
-        self.added = added
+        self.added = added = special if added else {}
         by_length = sorted(added, key=len, reverse=True)
         self.added_pattern = regex.compile("|".join(map(regex.escape, by_length))) if added else None
         self.byte_ids = np.zeros(256, np.int32)
@@ -337,9 +338,9 @@ class Codec:
 
 
 @functools.lru_cache(maxsize=2)
-def codec_of(file: str) -> Codec:
+def codec_of(file: str, added: bool = True) -> Codec:
     """One for each worker process, so that its tasks share what it remembers."""
-    return Codec(file)
+    return Codec(file, added)
 
 
 def text_parts(batch: pa.RecordBatch, column: str, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:

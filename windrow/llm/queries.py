@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windrow.llm import bpe, interactions, kneser_ney, langid, mixing, quality, sentence_pieces, simhash, substrings, suffixes, topk
+from windrow.llm import alignment, bpe, interactions, kneser_ney, langid, mixing, quality, sentence_pieces, simhash, substrings, suffixes, topk
 from windrow.llm import token_counts as counts
 from windrow.llm.text import table
 from windrow.session import run_folder
@@ -110,6 +110,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
 def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sentence_pieces.round_trip(table(spark, sf_dir, "documents"), PIECES)
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -136,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_quality_rules": op10_quality_rules,
+    "op11_alignment": op11_alignment,
     "op12_sentence_pieces": op12_sentence_pieces,
     "op13_filter_audit": op13_filter_audit,
 }
