@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +30,11 @@ from windrow.session import run_folder, ship_package
 
 MARK = "▁"
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 8 << 20
-#: Ranges of the table of chunks. A range's distinct chunks are held by one task, a message at a time passes through.
+BLOCK_BYTES = 16 << 20
+#: Ranges of the table of chunks, at most. A range's distinct chunks are held by one task, messages pass through.
 MOST_RANGES = 4096
+#: Bytes of messages whose new chunks are segmented together.
+TOGETHER_BYTES = 4 << 20
 #: Chunks of at most so many characters are segmented many at a time.
 MOST_TOGETHER = 64
 #: Characters that are segmented together: they bound the memory of it.
@@ -330,9 +333,13 @@ def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return both.dictionary, index, counts + n_odd
 
 
-def _range_of(words: list[bytes], n_ranges: int) -> np.ndarray:
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
-    return ((hashes >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)).astype(np.int64)
+def _by_range(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The order of distinct chunks by range, then text, and where each of ``MOST_RANGES`` begins and ends."""
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.to_pylist()), np.uint64, len(words))
+    ranges = (hashes >> np.uint64(32)) * np.uint64(MOST_RANGES) >> np.uint64(32)
+    table = pa.table({"range": pa.array(ranges), "word": words})
+    order = pc.sort_indices(table, sort_keys=[("range", "ascending"), ("word", "ascending")]).to_numpy()
+    return order.astype(np.int64), np.searchsorted(ranges[order], np.arange(MOST_RANGES + 1))
 
 
 def batches_of(batches: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.Table]:
@@ -394,12 +401,15 @@ def blocks(documents: DataFrame, key: str, text: str, block_bytes: int = BLOCK_B
         for table in batches_of(batches, "_text", block_bytes):
             words, index, counts = cut(table.column("_text").combine_chunks())
             keys = table.select(["_key"]).append_column("n", pa.array(counts))
-            lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.uint32)
-            data = b"".join(words.cast(pa.large_binary()).to_pylist())
+            words = words.cast(pa.large_binary())
+            order, bounds = _by_range(words)
+            place = np.empty(len(order), np.int32)
+            place[order] = np.arange(len(order), dtype=np.int32)
+            words = words.take(pa.array(order))
             yield pa.RecordBatch.from_pydict({
                 "chunk": pa.array([number], pa.int64()),
-                "rows": pa.array([C.pack_arrays(rows=packed_rows(keys), index=planes(index))], pa.binary()),
-                "words": pa.array([C.pack_arrays(lengths=planes(lengths), data=data)], pa.binary()),
+                "rows": pa.array([C.pack_arrays(rows=packed_rows(keys), index=planes(place[index]))], pa.binary()),
+                "words": pa.array([_packed_words(words, bounds)], pa.binary()),
             })
             number += 1
             C.give_back()
@@ -408,10 +418,16 @@ def blocks(documents: DataFrame, key: str, text: str, block_bytes: int = BLOCK_B
     return stored_blocks(rows.mapInArrow(pack, BLOCK_SCHEMA), "pieces")
 
 
-def _words(data: bytes) -> list[bytes]:
-    found = C.unpack_arrays(data)
-    ends = np.cumsum(from_planes(found["lengths"], "u4"), dtype=np.int64).tolist()
-    return [found["data"][a:b] for a, b in zip([0, *ends], ends)]
+def _packed_words(words: pa.Array, bounds: np.ndarray) -> bytes:
+    lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.uint32)
+    sizes = np.diff(bounds).astype(np.uint32)
+    data = zstandard.compress(b"".join(words.to_pylist()), 3)
+    return C.pack_arrays(lengths=planes(lengths), sizes=planes(sizes), data=data)
+
+
+def _words(held: dict) -> list[bytes]:
+    data, ends = zstandard.decompress(held["data"]), np.cumsum(from_planes(held["lengths"], "u4"), dtype=np.int64).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _asked(stored: C.Chunks, n_ranges: int) -> DataFrame:
@@ -419,58 +435,74 @@ def _asked(stored: C.Chunks, n_ranges: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in C.each(batches):
-            words = _words(row["words"])
-            ranges = _range_of(words, n_ranges)
-            order = np.argsort(ranges, kind="stable").tolist()
-            bounds = np.searchsorted(ranges[order], np.arange(n_ranges + 1)).tolist()
-            parts, data = [], []
-            for part, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                if a < b:
-                    chosen = [words[i] for i in order[a:b]]
-                    lengths = np.fromiter(map(len, chosen), np.uint32, len(chosen))
-                    parts.append(part)
-                    data.append(C.pack_arrays(lengths=planes(lengths), data=b"".join(chosen)))
-            yield C.messages(row["chunk"], parts, data)
+            held = C.unpack_arrays(row["words"])
+            words, lengths = _words(held), from_planes(held["lengths"], "u4")
+            ends = np.concatenate([[0], np.cumsum(from_planes(held["sizes"], "u4"), dtype=np.int64)])
+            # So many ranges are taken together that there are as many as asked for.
+            part = np.arange(MOST_RANGES) * n_ranges // MOST_RANGES
+            bounds = ends[np.searchsorted(part, np.arange(n_ranges + 1))].tolist()
+            cuts = [(part, a, b) for part, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+            data = [
+                C.pack_arrays(lengths=planes(lengths[a:b]), data=zstandard.compress(b"".join(words[a:b]), 3)) for _, a, b in cuts
+            ]
+            yield C.messages(row["chunk"], [part for part, _, _ in cuts], data)
 
     return stored.frame.select("chunk", "words").mapInArrow(run, C.MESSAGE_SCHEMA)
 
 
+class _Table:
+    """The chunks of the range at hand with their ids; new ones are segmented when they first come."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces, self.known, self.part = pieces, {}, None
+
+    def answer(self, messages: list[tuple[int, int, list[bytes]]]) -> Iterator[pa.RecordBatch]:
+        if messages[0][0] != self.part:
+            self.known = {}
+        known = self.known
+        fresh = list({w for _, _, words in messages for w in words if w not in known})
+        ids, count = self.pieces.segment([w.decode() for w in fresh])
+        flat, ends = ids.astype("<u4").tobytes(), np.cumsum(4 * count).tolist()
+        known.update((w, flat[a:b]) for w, a, b in zip(fresh, [0, *ends], ends))
+        for part, chunk, words in messages:
+            found = [known[w] for w in words]
+            lengths = np.fromiter(map(len, found), np.uint32, len(found)) // 4
+            ids = np.frombuffer(b"".join(found), "<u4")
+            yield C.answers(part, [chunk], [C.pack_arrays(lengths=planes(lengths), ids=planes(ids))])
+        self.part = messages[-1][0]
+        if messages[0][0] != self.part:
+            # Of earlier ranges no message comes any more.
+            self.known = {w: known[w] for part, _, words in messages if part == self.part for w in words}
+
+
 def _segmented(asked: DataFrame, n_ranges: int, model) -> DataFrame:
-    """Ids for every message. A range's chunks are segmented when they first come."""
+    """Ids for every message, some megabytes of messages at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, current, known = pieces_of(model.value), None, {}
+        table, held, size = _Table(pieces_of(model.value)), [], 0
         for batch in batches:
             for part, chunk, data in zip(*(batch.column(n).to_pylist() for n in ("part", "chunk", "data"))):
-                if part != current:
-                    current, known = part, {}
-                words = _words(data)
-                fresh = [w for w in words if w not in known]
-                if fresh:
-                    ids, count = pieces.segment([w.decode() for w in fresh])
-                    flat, ends = ids.astype("<u4").tobytes(), np.cumsum(4 * count).tolist()
-                    known.update((w, flat[a:b]) for w, a, b in zip(fresh, [0, *ends], ends))
-                found = [known[w] for w in words]
-                lengths = np.fromiter(map(len, found), np.uint32, len(found)) // 4
-                ids = np.frombuffer(b"".join(found), "<u4")
-                yield C.answers(part, [chunk], [C.pack_arrays(lengths=planes(lengths), ids=planes(ids))])
+                held.append((part, chunk, _words(C.unpack_arrays(data))))
+                size += sum(map(len, held[-1][2]))
+                if size > TOGETHER_BYTES:
+                    yield from table.answer(held)
+                    held, size = [], 0
+        if held:
+            yield from table.answer(held)
+        C.give_back()
 
     placed = asked.repartitionById(n_ranges, "part").sortWithinPartitions("part")
     return placed.mapInArrow(run, C.ANSWER_SCHEMA)
 
 
-def _put_back(row: dict, n_ranges: int, end: int | None) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def _put_back(row: dict, end: int | None) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Keys, ids and bounds of a block's texts."""
     held = C.unpack_arrays(row["rows"])
-    rows, index = pa.ipc.open_stream(held["rows"]).read_all(), from_planes(held["index"], "i4")
+    rows, at = pa.ipc.open_stream(held["rows"]).read_all(), from_planes(held["index"], "i4")
+    # Answers come by range, in the order of the block's distinct chunks.
     given = [C.unpack_arrays(a["data"]) for a in row["answers_0"] or []]
     length = np.concatenate([np.zeros(0, np.int64), *[from_planes(g["lengths"], "u4").astype(np.int64) for g in given]])
     flat = np.concatenate([np.zeros(0, np.int32), *[from_planes(g["ids"], "u4").astype(np.int32) for g in given]])
-    # Answers come by range; the same sort as when asking gives each chunk its answer.
-    order = np.argsort(_range_of(_words(row["words"]), n_ranges), kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    at = place[index]
     n = rows.column("n").to_numpy()
     start = np.cumsum(length) - length
     if end is not None:
@@ -489,13 +521,14 @@ def _encoded(documents: DataFrame, path: str, key: str, text: str, end: bool, bl
     pieces_of(model.value)  # an unfit model is refused at once
     stored = blocks(documents, key, text, block_bytes)
     n_ranges = min(stored.n_chunks, MOST_RANGES)
-    joined = C.with_answers(stored, _segmented(_asked(stored, n_ranges), n_ranges, model))
+    kept = C.Chunks(stored.frame.select("chunk", "rows"), stored.n_chunks, stored.n_buckets)
+    joined = C.with_answers(kept, _segmented(_asked(stored, n_ranges), n_ranges, model))
     key_type = documents.select(key).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_of(model.value)
         for row in C.each(batches):
-            keys, ids, bounds = _put_back(row, n_ranges, pieces.end if end else None)
+            keys, ids, bounds = _put_back(row, pieces.end if end else None)
             # Some megabytes at a time go on.
             step = max(1, len(keys) * (1 << 20) // max(1, len(ids)))
             for a in range(0, len(keys), step):
