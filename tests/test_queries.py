@@ -52,6 +52,7 @@ def test_entry(spark):
     assert found.where("loss is null or val_loss is null").count() == 0
 
 
-def test_model_round_trip_keeps_the_loss(spark):
-    rows = entry_point.queries()["model_round_trip"](spark, SF_DIR).collect()
-    assert len(rows) == 2 and rows[0]["loss"] == rows[1]["loss"]
+def test_model_round_trip_keeps_the_predictions(spark):
+    stored = entry_point.queries()["model_round_trip"](spark, SF_DIR).collect()
+    unstored = entry_point.queries()["scored_predictions"](spark, SF_DIR).select("start", "pred").collect()
+    assert len(stored) > 100 and sorted(map(tuple, stored)) == sorted(map(tuple, unstored))

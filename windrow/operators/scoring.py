@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from windrow.functions import vectors as V
 from windrow.operators import parameters as P
 from windrow.operators.arrow_examples import Layout, chunks, list_array, matrix
-from windrow.operators.network import Network
+from windrow.operators.network import Network, hits
 from windrow.session import ship_package
 
 # Fixed value: a prediction whose cosine with its label is above this counts as a hit.
@@ -35,7 +35,7 @@ def predict(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = None
         for batch in batches:
-            network = network or Network(sizes, handle.load().theta)
+            network = network or Network(sizes, handle.theta())
             out = network.forward(matrix(batch.column("_fitted"), sizes[0]))
             kept = [c for n, c in zip(batch.schema.names, batch.columns) if n != "_fitted"]
             names = [n for n in batch.schema.names if n != "_fitted"]
@@ -58,19 +58,17 @@ def evaluate(
         sums: dict[int, np.ndarray] = {}
         network = None
         for features, label, splits in chunks(batches, layout):
-            network = network or Network(widths, handle.load().theta)
+            network = network or Network(widths, handle.theta())
             out = network.forward(features)
             error = np.mean((out - label) ** 2, axis=1)
-            lengths = np.linalg.norm(out, axis=1) * np.linalg.norm(label, axis=1)
-            dots = np.einsum("ij,ij->i", out, label)
-            hits = (lengths > 0) & (dots > threshold * lengths)
+            hit = hits(out, label, threshold)
             for split in np.unique(splits):
                 own = splits == split
-                found = np.array([own.sum(), error[own].sum(), hits[own].sum()], float)
+                found = np.array([own.sum(), error[own].sum(), hit[own].sum()], float)
                 sums[int(split)] = sums.get(int(split), 0.0) + found
-        for split, (n, error, hits) in sums.items():
+        for split, (n, error, n_hits) in sums.items():
             yield pa.RecordBatch.from_pydict(
-                {"split": pa.array([split], pa.int32()), "n": [n], "error": [error], "hits": [hits]}
+                {"split": pa.array([split], pa.int32()), "n": [n], "error": [error], "hits": [n_hits]}
             )
 
     parts = frame.select(*layout.columns()).mapInArrow(score, "split int, n double, error double, hits double")

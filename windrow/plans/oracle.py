@@ -144,30 +144,32 @@ def behind(error: str, layer: int, rows: int, active: str) -> str:
 
 
 def gradient(layer: int, rows: int, cols: int, x: str, error: str) -> str:
-    """``layer, kind, place, g`` summed over the training rows."""
+    """``worker, layer, kind, place, g`` summed over the training rows of each worker."""
     return f"""
-        SELECT {layer} AS layer, 'weight' AS kind, i * {cols} + j AS place, sum({x}[i + 1] * {error}[j + 1]) AS g
-        FROM backward, range({rows}) r(i), range({cols}) c(j) GROUP BY 3
-        UNION ALL SELECT {layer}, 'bias', j, sum({error}[j + 1]) FROM backward, range({cols}) c(j) GROUP BY 3"""
+        SELECT worker, {layer} AS layer, 'weight' AS kind, i * {cols} + j AS place, sum({x}[i + 1] * {error}[j + 1]) AS g
+        FROM backward, range({rows}) r(i), range({cols}) c(j) GROUP BY 1, 4
+        UNION ALL SELECT worker, {layer}, 'bias', j, sum({error}[j + 1]) FROM backward, range({cols}) c(j) GROUP BY 1, 3, 4"""
 
 
-#: One step of Adam from the made model: its first one has the length of the rate, but for tiny gradients.
+#: A step of Adam for each of two workers, which has the length of the rate but for tiny gradients, and their average.
 ONE_STEP = f"""
     model AS MATERIALIZED (SELECT {made_weights(0, 256, 64)} AS w0, {made_biases(0, 64)} AS b0,
         {made_weights(1, 64, 64)} AS w1, {made_biases(1, 64)} AS b1, {made_inputs(1, 64, 64)} AS t1,
         {made_weights(2, 64, 64)} AS w2, {made_biases(2, 64)} AS b2, {made_inputs(2, 64, 64)} AS t2),
     examples AS MATERIALIZED (
-        SELECT *, {split_index("start", (0.8,), 42)} AS split FROM ({EMBEDDING_EXAMPLES})
+        SELECT *, {split_index("start", (0.8,), 42)} AS split,
+            floor({unit("'1:' || (start - start % 32)")} * 2)::INT AS worker
+        FROM ({EMBEDDING_EXAMPLES})
     ),
     first AS (SELECT *, {relu(dense("features", 0, 64))} AS x1 FROM examples, model WHERE split = 0),
     second AS (SELECT *, {relu(dense("x1", 1, 64))} AS x2 FROM first),
-    third AS (SELECT *, {dense("x2", 2, 64)} AS pred, count(*) OVER () AS n FROM second),
+    third AS (SELECT *, {dense("x2", 2, 64)} AS pred, count(*) OVER (PARTITION BY worker) AS n FROM second),
     missed AS (
         SELECT *, list_transform(list_zip(pred, label), lambda p: (p[1] - p[2]) * 2::DOUBLE / (n * 64)) AS e2 FROM third
     ),
     middle AS (SELECT *, {behind("e2", 2, 64, "x2")} AS e1 FROM missed),
     backward AS MATERIALIZED (
-        SELECT features, x1, x2, e1, e2, {behind("e1", 1, 64, "x1")} AS e0,
+        SELECT worker, n, features, x1, x2, e1, e2, {COSINE} > 0.1 AS hit, {behind("e1", 1, 64, "x1")} AS e0,
             list_avg(list_transform(list_zip(pred, label), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS loss
         FROM middle
     ),
@@ -177,8 +179,9 @@ ONE_STEP = f"""
     ),
     stepped AS MATERIALIZED (
         SELECT layer, kind, place, ({unit("'7:' || layer || ':' || kind || ':' || place")} - 0.5::DOUBLE) * 0.2::DOUBLE
-            - 0.001::DOUBLE * g / (abs(g) + 1e-8::DOUBLE) AS x
-        FROM gradients
+            - 0.001::DOUBLE * sum(n * g / (abs(g) + 1e-8::DOUBLE)) / sum(n) AS x
+        FROM gradients JOIN (SELECT worker, count(*) AS n FROM backward GROUP BY worker) USING (worker)
+        GROUP BY layer, kind, place
     )"""
 
 
@@ -461,9 +464,12 @@ ORACLE: dict[str, str] = {
         SELECT layer::INT AS layer, kind, place::INT AS place, round(x, 6) AS x FROM stepped""",
     "trained_batches": f"""
         WITH {ONE_STEP}
-        SELECT 1 AS epoch, 0 AS round, 1::BIGINT AS steps, (SELECT count(*) FROM backward) AS rows,
-            round((SELECT avg(loss) FROM backward), 6) AS loss,
-            round((SELECT sqrt(sum(g * g)) FROM gradients), 6) AS norm""",
+        SELECT 1 AS epoch, 0 AS round, worker, 1::BIGINT AS steps, n AS rows, 0.001::DOUBLE AS learning_rate,
+            round(loss, 6) AS loss, round(accuracy, 6) AS accuracy, round(norm, 6) AS norm, round(mean, 6) AS mean,
+            round(std, 6) AS std
+        FROM (SELECT worker, count(*) AS n, avg(loss) AS loss, 100 * avg(hit::INT::DOUBLE) AS accuracy FROM backward GROUP BY 1)
+        JOIN (SELECT worker, sqrt(sum(g * g)) AS norm, avg(g) AS mean, stddev_pop(g) AS std FROM gradients GROUP BY 1)
+            USING (worker)""",
     "trained_epochs": f"""
         WITH {ONE_STEP}, {STEPPED_PREDICTIONS}
         SELECT 1 AS epoch, round(avg(e) FILTER (split = 0), 6) AS loss,

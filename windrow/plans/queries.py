@@ -549,9 +549,9 @@ def evaluated_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _one_step(spark: SparkSession, sf_dir: str) -> training.TrainingRun:
-    """One step over all training rows, from the made model."""
+    """A step of each of two workers over all its training rows, from the made model, and the average of both."""
     settings = training.Settings(
-        WINDOW, VECTOR, hidden=VECTOR, epochs=1, batch=1024, full_batch=True, threshold=0.1
+        WINDOW, VECTOR, hidden=VECTOR, epochs=1, batch=1024, full_batch=True, workers=2, threshold=0.1
     )
     data = training.blocks_for_training(embedding_compact(spark, sf_dir, block_rows=32), settings)
     run = training.train(data, settings, start=made_model(spark))
@@ -568,13 +568,13 @@ def trained_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trained_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _one_step(spark, sf_dir).batch_metrics
-    return found.select(
-        "epoch", "round", "steps", "rows", six(F.col("loss")).alias("loss"), six(F.col("grad.norm")).alias("norm")
-    )
+    figures = {"loss": "loss", "accuracy": "accuracy", "norm": "grad.norm", "mean": "grad.mean", "std": "grad.std"}
+    figures = [six(F.col(place)).alias(name) for name, place in figures.items()]
+    return found.select("epoch", "round", "worker", "steps", "rows", "learning_rate", *figures)
 
 
 def trained_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loss and hit rate of both splits after the step."""
+    """Loss and hit rate of both splits after the steps and their average."""
     found = _one_step(spark, sf_dir).epoch_metrics
     figures = ("loss", "accuracy", "val_loss", "val_accuracy")
     return found.select("epoch", *[six(F.col(c)).alias(c) for c in figures], "learning_rate")

@@ -6,7 +6,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from urllib.parse import unquote, urlparse
 
+import pyarrow.fs as pafs
 from pyspark.sql import SparkSession
 
 
@@ -24,6 +26,30 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/windrow/{name}-{uuid.uuid4().hex}"
 
 
+def arrow_files(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path of Spark's, and the path there, for reading and writing in Python tasks."""
+    parsed = urlparse(uri)
+    if parsed.scheme in ("", "file"):
+        return pafs.LocalFileSystem(), unquote(parsed.path)
+    return pafs.FileSystem.from_uri(uri)
+
+
+def tasks_reach(folder: str) -> bool:
+    """Python can read and write in the folder, not only Spark; only the driver tries."""
+    try:
+        files, path = arrow_files(folder)
+        files.create_dir(path, recursive=True)
+        return files.get_file_info(path).type == pafs.FileType.Directory
+    except (OSError, ValueError, NotImplementedError):
+        return False
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """A run's folder that is not needed any more, on whatever file system it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package, once per context, for functions that run in Python workers."""
     context = spark.sparkContext
