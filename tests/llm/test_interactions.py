@@ -95,8 +95,9 @@ def write(spark, rows, path, n_files):
     return str(path)
 
 
-@pytest.mark.parametrize("order", ["falling", "shuffled"])
-def test_audit_in_any_order_of_files(spark, rows, labels, tmp_path, order):
+@pytest.mark.parametrize(("order", "together"), [("falling", 1), ("shuffled", 64)])
+def test_audit_in_any_order_of_files(spark, rows, labels, tmp_path, monkeypatch, order, together):
+    monkeypatch.setattr(interactions, "TEXTS_TOGETHER", together)
     # Falling ids: every file brings smaller ids than all before.
     dealt = sorted(rows, key=lambda r: -(r[0] or 0)) if order == "falling" else rows
     n, size = 5, -(-len(rows) // 5)

@@ -6,6 +6,10 @@ State keyed by text holds the smallest id so far and the masks that count as its
 smaller id arrives, these masks are retracted from the counters of their parts and come back with
 the bit set. Counters of masks are all that later figures need: every order of the filters, what
 each step removes, and each filter's share over all orders.
+
+Some tens of texts, by a range of their digests, share an entry of Spark's state, as a call for
+each text would cost more than all the rest. The state store is the session's; state that does not
+fit into the executors' memory needs the RocksDB provider (``spark.sql.streaming.stateStore.providerClass``).
 """
 
 from __future__ import annotations
@@ -32,14 +36,10 @@ SYMBOLS = b"#$%&*|"
 #: Rows of counters that a task holds before it sends them on.
 MOST_HELD = 1 << 16
 MEASURED = "doc_id bigint, part string, digest binary, mask int"
-COUNTED = "digest binary, doc_id bigint, part string, mask int, good boolean, toxic boolean, n bigint"
+COUNTED = "place bigint, digest binary, doc_id bigint, part string, mask int, good boolean, toxic boolean, n bigint"
 DELTAS = "part string, mask int, good boolean, toxic boolean, n bigint"
-#: Providers of state that does not have to fit into the memory of executors.
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
-}
+#: Texts that share an entry of state, about.
+TEXTS_TOGETHER = 64
 
 Measures = tuple[int, int, int, int, bool]
 
@@ -95,16 +95,17 @@ def _labels(labels: DataFrame, key: str) -> DataFrame:
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
     names = [field.split(" ")[0] for field in COUNTED.split(", ")]
-    types = [pa.binary(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64()]
+    types = [pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64()]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
 
-def _first_copies(repeated: int):
+def _first_copies(repeated: int, bits: int):
     """In each batch of rows, only a text's smallest ids can change again; all others are counted at once.
 
-    What is counted has no id and travels with the digest of one of its texts, so that a text which a
-    third of all documents share sends a row or two of every batch to its state.
+    What is counted has no id and travels with any of the batch's texts, so that a text which a third of
+    all documents share sends a row of every batch to its state. ``place`` are the first ``bits`` of a digest.
     """
+    place_of = lambda digest: int.from_bytes(digest[:8], "big") >> (64 - bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,17 +114,17 @@ def _first_copies(repeated: int):
             for digest, key, *_ in rows:
                 if key is not None and key < least.get(digest, key + 1):
                     least[digest] = key
-            first, settled, place = Counter(), Counter(), {}
+            first, settled = Counter(), Counter()
             for digest, key, part, mask, good, toxic in rows:
                 if key is not None and key == least[digest]:
                     first[digest, key, part, mask, bool(good), bool(toxic)] += 1
                 else:
                     # A null id is no repeat.
-                    what = (part, mask if key is None else mask | repeated, bool(good), bool(toxic))
-                    settled[what] += 1
-                    place[what] = digest
-            found = [(*what, n) for what, n in first.items()]
-            found += [(place[what], None, *what, n) for what, n in settled.items()]
+                    settled[part, mask if key is None else mask | repeated, bool(good), bool(toxic)] += 1
+            found = [(place_of(what[0]), *what, n) for what, n in first.items()]
+            places = sorted({place for place, *_ in found}) or [0]
+            for i, (what, n) in enumerate(settled.items()):
+                found.append((places[i % len(places)], None, None, *what, n))
             yield _table(found)
 
     return run
@@ -133,29 +134,30 @@ def _retract(repeated: int):
     """State of a text: the smallest id, and the counters of its documents as ``part, mask, good, toxic, n``."""
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        least, held = state.get if state.exists else (None, "[]")
-        held, before = {tuple(what): n for *what, n in json.loads(held)}, least
+        texts = json.loads(state.get[0]) if state.exists else {}
         changed, deltas = False, Counter()
         for rows in batches:
-            for doc, *what, n in zip(*(rows[c] for c in ("doc_id", "part", "mask", "good", "toxic", "n"))):
+            columns = [rows[c].tolist() for c in ("digest", "doc_id", "part", "mask", "good", "toxic", "n")]
+            for digest, doc, *what, n in zip(*columns):
                 what, n = (what[0], int(what[1]), bool(what[2]), bool(what[3])), int(n)
-                if pd.isna(doc):
+                if digest is None:
                     deltas[what] += n
                     continue
-                doc = int(doc)
+                doc, text = int(doc), bytes(digest).hex()
+                least, held = texts.get(text, (None, []))
                 if least is None or doc < least:
-                    for (part, mask, *flags), count in held.items():
+                    for part, mask, *flags, count in held:
                         deltas[part, mask, *flags] -= count
                         deltas[part, mask | repeated, *flags] += count
-                    least, held = doc, {}
+                    least, held = doc, []
                 if doc == least:
-                    held[what] = held.get(what, 0) + n
+                    texts[text] = (least, [*held, (*what, n)])
                     deltas[what] += n
                     changed = True
                 else:
                     deltas[what[0], what[1] | repeated, *what[2:]] += n
-        if changed or least != before:
-            state.update((least, json.dumps([[*what, n] for what, n in held.items()])))
+        if changed:
+            state.update((json.dumps(texts, separators=(",", ":")),))
         found = [(*what, n) for what, n in deltas.items() if n]
         if found:
             yield pd.DataFrame(found, columns=[field.split(" ")[0] for field in DELTAS.split(", ")])
@@ -182,6 +184,14 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows()
 
 
+def _bits(spark: SparkSession, documents: DataFrame, folder: str) -> int:
+    """Bits of a digest that name an entry of state; a run that goes on keeps them."""
+    n = max(1, documents.count() // TEXTS_TOGETHER)  # by the files' footers
+    made = spark.range(1).select(F.lit((n - 1).bit_length()).alias("bits"))
+    made.write.mode("ignore").parquet(f"{folder}/bits")
+    return spark.read.parquet(f"{folder}/bits").first()["bits"]
+
+
 def mask_counters(
     spark: SparkSession,
     path: str,
@@ -217,19 +227,12 @@ def mask_counters(
     pattern = f"{path.rstrip('/')[:-1]}[{path.rstrip('/')[-1]}]"
     stream = spark.readStream.schema(found.schema).option("maxFilesPerTrigger", files).parquet(pattern)
     masks = measured(stream, key, text, part, filters).join(known, "doc_id", "left")
-    first = masks.mapInArrow(_first_copies(repeated), COUNTED)
-    deltas = first.groupBy("digest").applyInPandasWithState(
-        _retract(repeated), DELTAS, "doc_id bigint, held string", "append", GroupStateTimeout.NoTimeout
+    first = masks.mapInArrow(_first_copies(repeated, _bits(spark, found, folder)), COUNTED)
+    deltas = first.groupBy("place").applyInPandasWithState(
+        _retract(repeated), DELTAS, "texts string", "append", GroupStateTimeout.NoTimeout
     )
-    settings = {name: spark.conf.get(name, None) for name in STATE_STORE}
-    try:
-        for name, value in STATE_STORE.items():
-            spark.conf.set(name, value)
-        writer = deltas.mapInArrow(_summed, DELTAS).writeStream.trigger(availableNow=True).outputMode("append")
-        query = writer.option("checkpointLocation", f"{folder}/checkpoint").format("parquet").start(f"{folder}/deltas")
-    finally:
-        for name, value in settings.items():
-            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+    writer = deltas.mapInArrow(_summed, DELTAS).writeStream.trigger(availableNow=True).outputMode("append")
+    query = writer.option("checkpointLocation", f"{folder}/checkpoint").format("parquet").start(f"{folder}/deltas")
     query.awaitTermination()
     counters = spark.read.schema(DELTAS).parquet(f"{folder}/deltas").groupBy("part", "mask", "good", "toxic")
     return counters.agg(F.sum("n").alias("n")).where("n <> 0")
