@@ -45,6 +45,29 @@ def suffix_dedup(rows, window=50):
     return sorted(out)
 
 
+def passages(rows, window=50):
+    """What is left of each text where characters go whole, for rows of distinct ids."""
+    data = {i: (t or "").encode() for i, t in rows}
+    first = {}
+    for i in sorted(data):
+        for a in range(len(data[i]) - window + 1):
+            first.setdefault(data[i][a : a + window], i)
+    out = {}
+    for i, t in rows:
+        gone = bytearray(len(data[i]))
+        for a in range(len(gone) - window + 1):
+            if first[data[i][a : a + window]] != i:
+                gone[a : a + window] = b"\x01" * window
+        kept, at = [], 0
+        for c in t or "":
+            size = len(c.encode())
+            if not any(gone[at : at + size]):
+                kept.append(c)
+            at += size
+        out[i] = "".join(kept)
+    return out
+
+
 def simhash(rows, shingle=4, max_bits=4):
     """doc_id, fingerprint, component, by comparing all pairs of fingerprints."""
     import xxhash

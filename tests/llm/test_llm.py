@@ -254,17 +254,26 @@ def test_components(spark):
     assert found == {i: int(root[i]) for i in {x for p in pairs for x in p} if root[i] != i}
 
 
-def test_keep_first(spark):
+def test_keep_one(spark, rows):
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("fp", F.lit(1)).withColumn("_row", F.lit("own"))
+    kept = simhash.keep_one(table.repartition(5))
+    assert kept.columns == ["doc_id", "text", "fp", "_row"]
+    texts = dict(rows)
+    found = {r["doc_id"]: (r["text"], r["fp"], r["_row"]) for r in kept.collect()}
+    assert found == {c: (texts[c], 1, "own") for c in {c for _, _, c in brute.simhash(rows)}}
+    assert simhash.keep_one(table.limit(0)).count() == 0
+
+
+def test_keep_one_of_repeated_and_null_keys(spark):
     rng = random.Random(4)
-    base = words(rng, 800, 5000).split()
-    near = base[:50] + ["changed"] + base[51:]
-    other = words(rng, 200, 5000)
-    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(base)), (4, other), (5, None), (6, ""), (None, "x"), (None, "x"), (4, other)]
-    table = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("fp", F.lit(1))
-    kept = simhash.keep_first(table)
-    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 1, 4, 5]
-    assert kept.columns == ["doc_id", "text", "fp"]
-    assert simhash.keep_first(table.limit(0)).count() == 0
+    one, other, third = words(rng, 200, 5000), words(rng, 200, 5000), words(rng, 90, 5000)
+    rows = [(4, one), (4, one), (4, other), (7, other), (None, one), (None, third), (None, third), (9, None), (8, " "), (None, "")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for n in (1, 4):
+        found = sorted(map(tuple, simhash.keep_one(table.repartition(n)).collect()), key=repr)
+        assert found == sorted([(4, one), (4, other), (None, third), (8, " ")], key=repr)
+    near = simhash.keep_one(spark.createDataFrame([(1, one), (1, one + " end"), (2, one)], "doc_id bigint, text string"))
+    assert [r["doc_id"] for r in near.collect()] == [1]
 
 
 def test_token_counts_come_from_the_cache(spark, rows, documents, none, tmp_path, monkeypatch):
@@ -337,11 +346,10 @@ def test_pipeline_stages(spark, rows, tmp_path):
     rules, near, passages, mixed, encoded = kept
     assert set(rules[1]) == {r["doc_id"] for r in quality.ledger(docs).where(quality.passes()).collect()}
     assert {i for i in near[1] if i >= 1000} == {i for i in near[0] if i >= 1000}  # no clean one goes
-    assert len({r["text"] for r in near[1].values()}) == len(near[1])
-    plain = {r[0]: r for r in brute.suffix_dedup([(i, r["text"]) for i, r in passages[0].items()])}
-    for i, r in passages[1].items():
-        if plain[i][2] == 0:
-            assert r["text"] == passages[0][i]["text"] and r["n_chars"] == len(r["text"])
+    assert set(near[1]) == {c for _, _, c in brute.simhash([(i, r["text"]) for i, r in near[0].items()])}
+    plain = brute.passages([(i, r["text"]) for i, r in passages[0].items()])
+    assert {i: r["text"] for i, r in passages[1].items()} == {i: t for i, t in plain.items() if brute.WORD.search(t)}
+    assert all(r["n_chars"] == len(r["text"]) for r in passages[1].values())
     assert 0 < len(mixed[1]) <= len(mixed[0])
     library = Tokenizer.from_file(PATH)
     for i, r in encoded[1].items():

@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
-from windrow.llm import queries, simhash
-from windrow.operators import training
-from windrow.plans import queries as plans
+from windrow.llm import queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -20,55 +18,6 @@ def words(rng, n, size=5000):
     return [f"w{rng.randrange(size)}" for _ in range(n)]
 
 
-def kept_by_all_pairs(texts):
-    """Places of the first texts of the components of (distance <= 7 and similarity >= 0.8), by all pairs."""
-    prints = [simhash.fingerprint(t, 5) & (2**64 - 1) for t in texts]
-    sets = [set(simhash.shingle_set(t, 5).tolist()) for t in texts]
-    root = list(range(len(texts)))
-
-    def top(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(texts)):
-        for j in range(i):
-            common = len(sets[i] & sets[j])
-            if (prints[i] ^ prints[j]).bit_count() <= 7 and common >= 0.8 * len(sets[i] | sets[j]):
-                a, b = sorted((top(i), top(j)))
-                root[b] = a
-    return {i for i in range(len(texts)) if top(i) == i}
-
-
-def test_keep_first_gives_the_components_of_all_verified_pairs(spark):
-    rng, texts = random.Random(11), []
-    for family in range(60):
-        # A phrase that comes again and again governs the fingerprint, the rest the similarity.
-        phrase, rest = words(rng, 12) * rng.choice([4, 12, 40]), words(rng, 120)
-        for _ in range(3):
-            other = list(rest)
-            for _ in range(rng.choice([2, 5, 8])):
-                other[rng.randrange(len(other))] = f"x{rng.randrange(10**6)}"
-            for _ in range(4):
-                member = list(other)
-                for _ in range(rng.choice([0, 1, 2, 4])):
-                    member[rng.randrange(len(member))] = f"y{rng.randrange(10**6)}"
-                texts.append(" ".join(phrase + member))
-    rng.shuffle(texts)
-    want = kept_by_all_pairs(texts)
-    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    assert {r["doc_id"] for r in simhash.keep_first(table).select("doc_id").collect()} == want
-
-
-def test_keep_first_compares_texts_of_one_fingerprint_with_each_other(spark):
-    rng = random.Random(3)
-    phrase, first, second = words(rng, 13) * 200, words(rng, 60), words(rng, 60)
-    texts = [" ".join(phrase + rest) for rest in (first, second, [*second, "end"])]
-    assert len({simhash.fingerprint(t, 5) for t in texts}) == 1
-    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    assert {r["doc_id"] for r in simhash.keep_first(table).collect()} == {0, 1}
-
-
 def test_one_rare_document_does_not_set_the_rate_of_the_mixture(spark):
     rng = random.Random(5)
     rows = [(i, " ".join(words(rng, 400)), "en", f"s{i % 2}", 0) for i in range(400)]
@@ -88,21 +37,3 @@ def test_registered_language_model_has_trigrams(spark):
     found = queries.op3_lm_scoring(spark, SF_DIR).select("doc_id", "score").collect()
     want = sorted((w[0], w[5]) for w in brute.kneser_ney(learnt, 3))
     assert sorted(map(tuple, found)) == [pytest.approx(w, rel=1e-9) for w in want]
-
-
-@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the generated tables")
-def test_a_step_over_all_rows_is_the_same_by_several_workers(spark):
-    found = []
-    for how in ({"batch": 1 << 30, "workers": 1}, {"batch": 7, "workers": 5, "full_batch": True}):
-        settings = training.Settings(plans.WINDOW, plans.VECTOR, hidden=plans.VECTOR, epochs=1, threshold=0.1, **how)
-        data = training.blocks_for_training(plans.embedding_compact(spark, SF_DIR, block_rows=8), settings)
-        assert data.frame.where("_own > 0").groupBy(F.spark_partition_id()).count().count() == how["workers"]
-        run = training.train(data, settings, start=plans.made_model(spark))
-        values = {(r["state"], r["layer"], r["kind"], r["slice_id"]): r["vals"] for r in run.parameters.collect()}
-        metrics = run.batch_metrics.collect()
-        assert [r["steps"] for r in metrics] == [1]
-        found.append((values, metrics[0]["rows"], metrics[0]["loss"], run.epochs[0][5]))
-    (one, *whole), (several, *parts) = found
-    assert one.keys() == several.keys()
-    assert all(several[k] == pytest.approx(one[k], rel=1e-6, abs=1e-9) for k in one)
-    assert parts[:2] == pytest.approx(whole[:2]) and parts[2] == pytest.approx(whole[2], rel=1e-6, abs=1e-12)

@@ -206,6 +206,7 @@ def _blocks(documents: DataFrame, models: tuple[Broadcast, Broadcast], key: str,
             number += 1
             del batch, left, right, document, place, groups
             C.give_back()
+        codec.forget()
 
     rows, _ = _keyed(documents, key, text)
     return stored_blocks(rows.mapInArrow(run, BLOCK_SCHEMA), "alignment")

@@ -22,14 +22,17 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
+from windrow.llm.chunks import give_back
 from windrow.session import ship_package
 
 #: Pieces of at most so many bytes are encoded in a forest.
 FOREST_LEAVES = 64
-#: Leaves in one forest, bytes of text encoded at a time, and pieces remembered: they bound a task's memory.
+#: Leaves in one forest, bytes of text encoded at a time, and bytes of words remembered: they bound a task's memory.
 FOREST_SLOTS = 1 << 20
 BATCH_BYTES = 2 << 20
-REMEMBERED = 300_000
+REMEMBERED_BYTES = 24 << 20
+#: What a remembered word takes besides its letters and ids: two objects and a place in a table.
+WORD_BYTES = 200
 NONE = np.iinfo(np.int32).max
 #: Text with this is not cut at its spaces at once.
 SPACES = re.compile(r" (?:\s|\Z)")
@@ -91,11 +94,16 @@ class Codec:
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], order.astype(np.int32)
         self.rank_of = dict(zip(self.keys.tolist(), self.ranks.tolist()))
-        self.remembered: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.forget()
         self.assigned: set[str] = set()
         self.splitter = None
 
+    def forget(self) -> None:
+        """Give up all remembered words; a task does so at its end."""
+        self.remembered: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.remembered_bytes = 0
+
     #: The pattern of byte-level tokenizers; a fixed value.
     PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -246,9 +254,9 @@ class Codec:
 
     def _spaced(self, words: list[str]) -> list[bytes]:
         """Ids of each word with a space before it; distinct words, none of which begins with white space."""
-        if len(self.remembered) > REMEMBERED:
+        if self.remembered_bytes > REMEMBERED_BYTES:
             # What wasn't met since the last time is forgotten.
-            self.before, self.remembered = self.remembered, {}
+            self.before, self.remembered, self.remembered_bytes = self.remembered, {}, 0
         known, before = self.remembered, self.before
         found = [known.get(word) or before.get(word) for word in words]
         missing = [word for word, ids in zip(words, found) if ids is None]
@@ -266,7 +274,9 @@ class Codec:
         new = iter(learnt)
         found = [next(new) if ids is None else ids for ids in found]
         # Long ones are rare and would fill the memory.
-        known.update((w, ids) for w, ids in zip(words, found) if len(w) <= FOREST_LEAVES)
+        fresh = {w: ids for w, ids in zip(words, found) if w not in known and len(w) <= FOREST_LEAVES}
+        known.update(fresh)
+        self.remembered_bytes += WORD_BYTES * len(fresh) + sum(len(w) + len(ids) for w, ids in fresh.items())
         return found
 
     def _singly(self, text: str) -> list[str | int]:
@@ -366,6 +376,8 @@ def _run(rows: DataFrame, path: str, schema: str, work) -> DataFrame:
         codec = codec_of(spec.value)
         for batch in batches:
             yield from work(codec, batch)
+        codec.forget()
+        give_back()
 
     return rows.mapInArrow(run, schema)
 

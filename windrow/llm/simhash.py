@@ -10,7 +10,7 @@ So every link shows at an anchor. Links are thinned to a spanning forest before
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from windrow.llm.chunks import give_back
 from windrow.llm.components import connected, local_forest
 from windrow.session import run_folder, ship_package
 
@@ -57,6 +58,7 @@ def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text",
         for batch in batches:
             found = [fingerprint(t.as_py(), shingle) for t in batch.column("_text")]
             yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array(found, pa.int64())], ["_key", "fp"])
+        give_back()
 
     key_type = inner.schema["_key"].dataType.simpleString()
     return inner.mapInArrow(run, f"_key {key_type}, fp bigint").withColumnRenamed("_key", key)
@@ -110,8 +112,8 @@ def segments(max_bits: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(bounds, bounds[1:])]
 
 
-def members(prints: DataFrame, max_bits: int, carry: Sequence[str] = ()) -> DataFrame:
-    """``anchor, fp, home, carry`` of distinct fingerprints: at every anchor they are replicated to."""
+def members(prints: DataFrame, max_bits: int) -> DataFrame:
+    """``anchor, fp, home`` of distinct fingerprints: at every anchor they are replicated to."""
     cuts = segments(max_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,26 +126,21 @@ def members(prints: DataFrame, max_bits: int, carry: Sequence[str] = ()) -> Data
                     place, anchor = code.within_two(values)
                     home = np.zeros(len(place), bool)
                     home[: len(values)] = True  # the nearest ones come first
-                    others = {c: whole.column(c).slice(start, HASHES).take(pa.array(place)) for c in carry}
-                    yield pa.RecordBatch.from_pydict(
-                        {"anchor": anchor | number << 40, "fp": fp[place], "home": home} | others
-                    )
+                    yield pa.RecordBatch.from_pydict({"anchor": anchor | number << 40, "fp": fp[place], "home": home})
 
-    inner = prints.select("fp", *carry)
-    types = "".join(f", {c} {inner.schema[c].dataType.simpleString()}" for c in carry)
-    return inner.mapInArrow(run, "anchor bigint, fp bigint, home boolean" + types)
+    return prints.select("fp").mapInArrow(run, "anchor bigint, fp bigint, home boolean")
 
 
-def _salted(rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def _salted(rows: DataFrame) -> DataFrame:
     """Members of an anchor with many of its own are split: those by salt, visitors to every salt."""
     n_salts = F.ceil(F.count("*") / HOT).cast("int")
     hot = rows.where("home").groupBy("anchor").agg(n_salts.alias("n_salts")).where("n_salts > 1")
     n = F.coalesce("n_salts", F.lit(1))
     own = F.array(F.pmod(F.xxhash64("fp"), n).cast("int"))
     every = F.sequence(F.lit(0), n - 1)
-    both = rows.join(hot, "anchor", "left").select("anchor", "fp", "home", *carry, own.alias("own"), every.alias("e"))
-    return both.select("anchor", "fp", "own", "home", *carry, F.explode("e").alias("salt")).select(
-        "anchor", "salt", "fp", (F.col("home") & (F.get("own", F.lit(0)) == F.col("salt"))).alias("home"), *carry
+    both = rows.join(hot, "anchor", "left").select("anchor", "fp", "home", own.alias("own"), every.alias("e"))
+    return both.select("anchor", "fp", "own", "home", F.explode("e").alias("salt")).select(
+        "anchor", "salt", "fp", (F.col("home") & (F.get("own", F.lit(0)) == F.col("salt"))).alias("home")
     )
 
 
@@ -179,13 +176,9 @@ def _links_at(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, max_bits: in
     return tuple(np.concatenate([np.zeros((2, 0), np.int64), *chosen], axis=1))
 
 
-def links(prints: DataFrame, max_bits: int = MAX_BITS, apart: bool = False) -> DataFrame:
-    """``a, b``: pairs within ``max_bits``, as many as connect all that is linked at an anchor.
-
-    With ``apart``, all pairs instead but those known to be together: both not ``mixed``, of one ``root``.
-    """
-    carry = ("root", "mixed") if apart else ()
-    rows = _salted(members(prints, max_bits, carry), carry)
+def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``a, b``: pairs within ``max_bits``, as many as connect all that is linked at an anchor."""
+    rows = _salted(members(prints, max_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -194,14 +187,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, apart: bool = False) -> D
             whole = pa.Table.from_batches(rows)
             group = whole.column("anchor").to_numpy() * 1000003 + whole.column("salt").to_numpy()
             fp, home = whole.column("fp").to_numpy(), whole.column("home").to_numpy()
-            if not apart:
-                a, b = _links_at(group, fp, home, max_bits)
-                yield pa.RecordBatch.from_pydict({"a": a, "b": b})
-                return
-            root, mixed = whole.column("root").to_numpy(), whole.column("mixed").to_numpy()
-            for a, b in _near_at(group, fp, home, max_bits):
-                left = mixed[a] | mixed[b] | (root[a] != root[b])
-                yield pa.RecordBatch.from_pydict({"a": fp[a[left]], "b": fp[b[left]]})
+            a, b = _links_at(group, fp, home, max_bits)
+            yield pa.RecordBatch.from_pydict({"a": a, "b": b})
 
         for batch in batches:
             # The last anchor of a batch may go on in the next one.
@@ -253,124 +240,25 @@ def near_duplicates(
     return prints.join(of_print, "fp").select(F.col("_key").alias(key), "fp", "component")
 
 
-def shingle_set(text: str, shingle: int) -> np.ndarray:
-    """Distinct hashes of the shingles of the lower-cased text; fewer words make one shingle, none make none."""
-    words = text.encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = [0, *(ends[:-1] + 1).tolist()]
-    last = ends[min(shingle, len(words)) - 1 :].tolist()
-    return np.unique(np.array([xxhash.xxh3_64_intdigest(joined[a:b]) for a, b in zip(starts, last)], np.uint64))
-
-
-def similar(pairs: DataFrame, documents: DataFrame, key: str, text: str, shingle: int, similarity: float) -> DataFrame:
-    """Those of the ``a, b`` pairs of keys whose whole texts' shingle sets have at least that Jaccard similarity.
-
-    Two texts without words are alike. Only texts that a pair names are moved.
-    """
-    spark = documents.sparkSession
-    folder = run_folder(spark, "similar")
-    ends = pairs.select(F.col("a").alias("_end")).union(pairs.select("b")).distinct()
-    named = documents.select(documents[key].alias("_key"), F.coalesce(documents[text], F.lit("")).alias("_text"))
-    named = named.join(ends, F.col("_key") == F.col("_end"), "left_semi").dropDuplicates(["_key"])
-    named.write.parquet(folder)
-    named = spark.read.parquet(folder)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = shingle_set(x.as_py(), shingle), shingle_set(y.as_py(), shingle)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(common >= similarity * (len(x) + len(y) - common))
-            found = pa.Table.from_batches([batch.select(["a", "b"])]).filter(pa.array(keep, pa.bool_()))
-            yield from found.to_batches()
-
-    first = named.select(F.col("_key").alias("a"), F.col("_text").alias("x"))
-    second = named.select(F.col("_key").alias("b"), F.col("_text").alias("y"))
-    return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(compare, "a bigint, b bigint")
-
-
-def _still_open(texts: DataFrame, pairs: DataFrame, alike: DataFrame, max_bits: int, folder: str) -> DataFrame:
-    """``a, b``: all pairs of texts within ``max_bits`` that are neither compared nor connected by ``alike``.
-
-    ``pairs`` connect all texts within ``max_bits``, so that pairs are missing only in groups of theirs that
-    ``alike`` leaves in several pieces; the others aren't searched again.
-    """
-    spark = texts.sparkSession
-    of = texts
-    for links_of, name in ((alike, "root"), (pairs, "group")):
-        found = connected(links_of).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-        of = of.join(found, of["node"] == found["_node"], "left")
-        of = of.withColumn(name, F.coalesce("_root", "node")).drop("_node", "_root")
-    of.write.parquet(f"{folder}/pieces")
-    of = spark.read.parquet(f"{folder}/pieces")
-    parted = of.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    of.join(parted, "group", "left_semi").select("fp", "node", "root").write.parquet(f"{folder}/open")
-    of = spark.read.parquet(f"{folder}/open")
-    classes = of.groupBy("fp").agg(F.min("root").alias("root"), (F.min("root") != F.max("root")).alias("mixed"))
-    near = links(classes, max_bits, apart=True).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    near = near.distinct().union(classes.where("mixed").select(F.col("fp").alias("a"), F.col("fp").alias("b")))
-    # Pieces before texts: a large piece doesn't meet itself.
-    for end in ("a", "b"):
-        pieces = of.select(F.col("fp").alias(end), F.col("root").alias(f"{end}_root")).distinct()
-        near = near.join(pieces, end)
-    near = near.where("a_root <> b_root")
-    for end in ("a", "b"):
-        members_of = of.select(F.col("fp").alias(end), F.col("root").alias(f"{end}_root"), F.col("node").alias(f"{end}_node"))
-        near = near.join(members_of, [end, f"{end}_root"])
-    found = near.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
-    return found.join(pairs, ["a", "b"], "left_anti")
-
-
-def keep_first(
-    documents: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    shingle: int = 5,
-    max_bits: int = 7,
-    similarity: float = 0.8,
+def keep_one(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """One document, that with the smallest key, of each group of near duplicates, with all its columns.
-
-    Equal texts are duplicates. Texts whose fingerprints are equal or differ in up to ``max_bits`` bits
-    are so if their sets of ``shingle`` words have at least that ``similarity``; chance neighbours
-    among very many fingerprints stay apart. A group is what all such links connect: few links are compared
-    first, then all others between texts that those leave apart. Null and empty texts
-    are equal. Keys identify documents: of rows that repeat a key one stays; rows with a null key all
-    stay. An empty table gives no rows.
+    """One document of each component of ``near_duplicates`` stays, with all its columns: that with the smallest key.
+
+    Rows with a null key stay only in components without any key. Of rows of one key with different
+    texts that are linked, the one with the smallest digest stays, whatever the layout of the table;
+    rows of one key and text are one document, of which one row stays. An empty table gives no rows.
     """
-    spark = documents.sparkSession
-    ship_package(spark)
-    folder = run_folder(spark, "simhash-groups")
-    keyed = documents.where(documents[key].isNotNull())
-    whole = F.coalesce(keyed[text], F.lit(""))
-    inner = keyed.select(F.struct(keyed[key].cast("bigint").alias("k"), F.sha2(whole, 256).alias("d")).alias("_k"), whole.alias("_t"))
-    prints = fingerprints(inner, "_k", "_t", shingle)
-    # Equal texts become one row at once.
-    prints.groupBy("fp", F.col("_k.d").alias("digest")).agg(F.min("_k.k").alias("node")).write.parquet(f"{folder}/texts")
-    texts = spark.read.parquet(f"{folder}/texts").select("fp", "node")
-    texts.groupBy("fp").agg(F.min("node").alias("least")).write.parquet(f"{folder}/classes")
-    classes = spark.read.parquet(f"{folder}/classes")
-    equal = texts.join(classes, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    near = links(classes, max_bits)
-    for end in ("a", "b"):
-        of = classes.select(F.col("fp").alias(f"_{end}"), F.col("least").alias(f"_{end}_key"))
-        near = near.join(of, F.col(end) == F.col(f"_{end}"))
-    near = near.select(F.least("_a_key", "_b_key").alias("a"), F.greatest("_a_key", "_b_key").alias("b"))
-    equal.union(near).where("a <> b").distinct().write.parquet(f"{folder}/pairs")
-    pairs = spark.read.parquet(f"{folder}/pairs")
-    similar(pairs, documents, key, text, shingle, similarity).write.parquet(f"{folder}/alike")
-    alike = spark.read.parquet(f"{folder}/alike")
-    _still_open(texts, pairs, alike, max_bits, folder).write.parquet(f"{folder}/more")
-    more = similar(spark.read.parquet(f"{folder}/more"), documents, key, text, shingle, similarity)
-    roots = connected(alike.union(more))
-    first = texts.join(roots, "node", "left").where(F.coalesce("root", "node") == F.col("node"))
-    first = first.select(F.col("node").alias("_first")).distinct()
-    kept = documents.join(first, documents[key] == first["_first"], "left_semi").dropDuplicates([key])
-    return kept.unionByName(documents.where(documents[key].isNull()))
+    own, whole = documents[key], F.coalesce(documents[text], F.lit(""))
+    known = F.when(own.isNull(), "-").otherwise(F.concat(F.lit("+"), own.cast("string")))
+    row = F.sha2(F.concat_ws(":", known, whole).cast("binary"), 256)
+    inner = documents.select(F.struct(own.isNull().alias("last"), own.alias("k"), row.alias("id")).alias("_k"), whole.alias("_t"))
+    found = near_duplicates(inner, "_k", "_t", shingle, max_bits)
+    # Only those that go are named, which are fewer.
+    gone = found.where(F.col("_k.id") != F.col("component.id")).select(F.col("_k.id").alias("_row")).distinct()
+    # The columns travel in a struct, so that no name of theirs can clash.
+    rows = documents.select(F.struct(*documents.columns).alias("_document"), row.alias("_row"))
+    return rows.join(gone, "_row", "left_anti").dropDuplicates(["_row"]).select("_document.*")
 
 
 def hexadecimal(fp: str = "fp"):

@@ -115,6 +115,14 @@ def compare(window: int):
     return run
 
 
+def _whole_characters(data: np.ndarray, removed: np.ndarray) -> np.ndarray:
+    """Bits of bytes, spread to all bytes of a UTF-8 character."""
+    if not len(data):
+        return removed
+    begin = np.flatnonzero((data & 0xC0) != 0x80)
+    return np.repeat(np.logical_or.reduceat(removed, begin), np.diff(np.append(begin, len(data))))
+
+
 def remove_repeats(
     documents: DataFrame,
     key: str = "doc_id",
@@ -123,17 +131,21 @@ def remove_repeats(
     gram: int = GRAM,
     carry: tuple[str, ...] = (),
     chunk_bytes: int = C.CHUNK_BYTES,
+    whole_characters: bool = False,
 ) -> DataFrame:
     """``key, n_bytes, n_removed, n_spans, kept`` and the columns to carry: texts without later copies.
 
     A byte goes if a string of ``window`` bytes that covers it also starts in a document with a
     smaller key (a null key comes first). Strings never cross documents and are judged on the input.
-    ``kept`` is binary, as a cut can part a character; ``n_spans`` counts the runs removed. A null
+    ``kept`` is binary, as a cut can part a character; with ``whole_characters`` all bytes of such a
+    character go, so that ``kept`` is UTF-8 again. ``n_spans`` counts the runs removed. A null
     or empty text gives no bytes. Rows that repeat a key are one document and no copies of each
     other. An empty table gives no rows. Columns besides key, text and carried ones take no part.
     """
 
     def result(sequence: R.Sequence, rows: pa.Table, removed: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if whole_characters:
+            removed = _whole_characters(sequence.bytes, removed)
         gone = np.concatenate([[0], np.cumsum(removed)])
         head = removed.copy()
         head[1:] &= ~removed[:-1]

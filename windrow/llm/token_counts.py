@@ -68,6 +68,7 @@ def _counter(name: str, data: bytes):
     file = data.decode("utf-8")
     if supports(file):
         codec = codec_of(file)
+        codec.forget()  # what an earlier task remembered
         return lambda texts: np.diff(codec.encode(texts).offsets.to_numpy()).tolist()
     import os
 
