@@ -2,6 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. Nulls, empty and
 very long texts, repeated rows, empty tables and extra columns are treated as each operator says.
+Columns besides those of ``documents`` go no further than the first stage, ``copy`` numbers of the
+mixture neither: copies of a document are rows of their own.
 """
 
 from __future__ import annotations
@@ -24,21 +26,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: five words, a similarity of 0.8 or more."""
-    return simhash.keep_first(docs.select(*COLUMNS))
+    """One document of each group stays that fingerprints of four words within four bits connect."""
+    return simhash.keep_one(docs.select(*COLUMNS))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 bytes or more that an earlier document has go, documents without any words left too.
 
-    Characters that a cut parts go with it; ``n_chars`` is counted anew.
+    A character that a cut would part goes whole; ``n_chars`` is counted anew.
     """
-    cut = suffixes.remove_repeats(docs, carry=("lang", "source"))
-    # The remaining bytes of parted characters are no UTF-8.
-    text = F.regexp_replace(F.decode(F.col("kept"), "UTF-8"), "�", "") if False else None
-    kept = cut.withColumn("text", F.try_validate_utf8(F.col("kept").cast("string")))
-    whole = F.coalesce("text", F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", ""))
-    kept = kept.withColumn("text", whole).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    cut = suffixes.remove_repeats(docs, carry=("lang", "source"), whole_characters=True)
+    kept = cut.withColumn("text", F.col("kept").cast("string")).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return kept.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS)
 
 
