@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from windrow.operators.positions import dense_positions, running_total
+from windrow.operators import positions
+from windrow.operators.positions import dense_positions, ranged_total, running_total
 
 
 def expected(rows):
@@ -52,9 +53,42 @@ def test_null_key_fails(spark):
         dense_positions(df, "key").collect()
 
 
-def test_needs_an_integer_key(spark):
-    with pytest.raises(ValueError):
-        dense_positions(spark.createDataFrame([("a",)], "key string"), "key")
+@pytest.mark.parametrize("kind", ["string", "double", "timestamp", "date", "binary", "decimal(20,3)"])
+@pytest.mark.parametrize("n_ranges", [1, 7])
+def test_any_key_that_can_be_ordered(spark, kind, n_ranges):
+    rng = random.Random(n_ranges)
+    # One sequence has most rows, and ties are broken by a second column.
+    rows = [(rng.choice("aaaaaabc"), rng.randrange(40), i, rng.randrange(5)) for i in range(500)]
+    key = F.col("k") if kind != "timestamp" else F.col("k") * 86400
+    made = {"string": F.lpad(F.col("k").cast("string"), 3, "0"), "binary": F.lpad(F.col("k").cast("string"), 3, "0").cast("binary")}
+    made["date"] = F.date_add(F.lit("2020-01-01").cast("date"), F.col("k"))
+    df = spark.createDataFrame(rows, "seq string, k int, tie int, w int").withColumn("key", made.get(kind, key.cast(kind)))
+    found = ranged_total(df, ["key", "tie"], F.col("w"), ["seq"], n_ranges=n_ranges)
+    assert found.columns == [*df.columns, "offset"] and found.schema["key"].dataType == df.schema["key"].dataType
+    want = expected([(s, (k, t), w) for s, k, t, w in rows])
+    assert {(r["seq"], (r["k"], r["tie"])): r["offset"] for r in found.collect()} == want
+    whole = dense_positions(df, ["key", "tie"]).collect()
+    assert [(r["k"], r["tie"]) for r in sorted(whole, key=lambda r: r["pos"])] == sorted((k, t) for _, k, t, _ in rows)
+    assert sorted(r["pos"] for r in whole) == list(range(500))
+
+
+def test_one_text_as_a_key_of_its_own(spark):
+    words = sorted({f"w{i * 7919 % 5000}" for i in range(3000)})
+    df = spark.createDataFrame([(w,) for w in words], "key string").repartition(6)
+    assert {r["key"]: r["pos"] for r in dense_positions(df, "key").collect()} == {w: i for i, w in enumerate(words)}
+    assert dense_positions(df.limit(0), "key").count() == 0
+    for bad, says in ((df.union(df.limit(1)), "same order"), (df.union(spark.sql("SELECT cast(null AS string)")), "null in the")):
+        with pytest.raises(Exception, match=says):
+            dense_positions(bad, "key").collect()
+
+
+def test_no_range_holds_a_whole_sequence(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(positions, "run_folder", lambda spark, name: f"file://{tmp_path}/{name}")
+    df = spark.range(20_000).select(F.lit("one").alias("seq"), (F.col("id") * 1.5).alias("key"), F.lit("own").alias("_w0"))
+    found = ranged_total(df, ["key"], F.lit(1), ["seq"], "pos", n_ranges=10)
+    assert found.where(F.col("pos") * 1.5 != F.col("key")).count() == 0
+    parts = spark.read.parquet(f"file://{tmp_path}/positions").groupBy("_part").count().collect()
+    assert len(parts) == 10 and max(r["count"] for r in parts) < 5000
 
 
 def test_a_wrong_span_costs_balance_only(spark):

@@ -459,6 +459,11 @@ ORACLE: dict[str, str] = {
         FROM (SELECT {split_index("start", (0.8,), 42)} AS split, {COSINE} AS c,
                 list_avg(list_transform(list_zip(pred, label), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS e
             FROM ({MADE_PREDICTIONS})) GROUP BY split""",
+    "event_positions_by_time": "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS pos FROM events",
+    "event_totals_by_type": """
+        SELECT event_id, coalesce(sum(length(props)) OVER (
+            PARTITION BY user_id ORDER BY event_type, value, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+        ), 0)::BIGINT AS before FROM events""",
     "trained_parameters": f"""
         WITH {ONE_STEP}
         SELECT layer::INT AS layer, kind, place::INT AS place, round(x, 6) AS x FROM stepped""",

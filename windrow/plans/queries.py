@@ -548,6 +548,20 @@ def evaluated_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("split", "n_rows", six(F.col("loss")).alias("loss"), six(F.col("accuracy")).alias("accuracy"))
 
 
+def event_positions_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all events in one order by their times; events of one time by their ids."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    return dense_positions(events, ["ts", "event_id"]).select("event_id", "pos")
+
+
+def event_totals_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each user the length of the properties of all events before, in the order of a text, a double and an id."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "value", "event_id", "props")
+    order = ["event_type", "value", "event_id"]
+    found = running_total(events, order, F.length("props"), ["user_id"], "before")
+    return found.select("event_id", "before")
+
+
 def _one_step(spark: SparkSession, sf_dir: str) -> training.TrainingRun:
     """A step of each of two workers over all its training rows, from the made model, and the average of both."""
     settings = training.Settings(
@@ -676,6 +690,8 @@ QUERIES: dict[str, Query] = {
         predictions,
         scored_predictions,
         evaluated_splits,
+        event_positions_by_time,
+        event_totals_by_type,
         trained_parameters,
         trained_batches,
         trained_epochs,
