@@ -23,8 +23,11 @@ from windrow.session import run_folder, ship_package
 
 #: Trigrams are hashed to so many bits, so a model is of bounded size: one count for each and language.
 BUCKET_BITS = 15
-#: Languages are two letters; more than these aren't modelled.
-MOST_LANGUAGES = 128
+#: A language is the primary part of a tag, two or three letters. More than these are refused, none is left out.
+MOST_LANGUAGES = 512
+PRIMARY = r"^([a-z]{2,3})(?:[-_].*)?$"
+#: Pages that a task fuses: the work is in the arrays, not in the bytes that partitions are merged by.
+PAGES_IN_TASK, MOST_TASKS = 1 << 13, 20_000
 #: Trigrams are not independent: a text counts as much as so many of them at most.
 EVIDENCE = 150.0
 #: Pseudo-counts of the priors' upper levels, and of declarations and suffixes.
@@ -50,14 +53,17 @@ def buckets(text: str) -> np.ndarray:
 
 
 def train(documents: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Trigram counts of all documents by labelled language; unlabelled ones and other codes take no part.
+    """Trigram counts of all documents by labelled language; unlabelled ones and what is no tag take no part.
+
+    ``en-US`` counts as ``en``, ``ceb`` as itself.
 
     Tasks count in arrays, and only counts are shuffled. The driver gets at most one count for each
     bucket and language, which is a fixed bound. No labelled documents give a model without languages.
     """
     ship_package(documents.sparkSession)
-    inner = documents.select(F.lower(documents[lang]).alias("_lang"), documents[text].alias("_text"))
-    inner = inner.where(F.col("_lang").rlike("^[a-z]{2}$") & F.col("_text").isNotNull())
+    tag = F.regexp_extract(F.lower(documents[lang]), PRIMARY, 1)
+    inner = documents.select(tag.alias("_lang"), documents[text].alias("_text"))
+    inner = inner.where((F.col("_lang") != "") & F.col("_text").isNotNull())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
@@ -73,9 +79,10 @@ def train(documents: DataFrame, text: str = "text", lang: str = "lang") -> Model
     folder = run_folder(documents.sparkSession, "languages")
     counts.agg(F.sum("n").alias("n")).write.parquet(folder)
     stored = documents.sparkSession.read.parquet(folder)
-    sizes = stored.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "lang")
-    languages = sorted(r["lang"] for r in sizes.limit(MOST_LANGUAGES).collect())
-    found = stored.where(F.col("lang").isin(languages)).toPandas() if languages else None
+    languages = sorted(r["lang"] for r in stored.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
+    if len(languages) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    found = stored.toPandas() if languages else None
     matrix = np.full((len(languages), 1 << BUCKET_BITS), 0.5)
     if languages:
         place = {language: i for i, language in enumerate(languages)}
@@ -122,7 +129,8 @@ def visible_text(html: Column) -> Column:
 
 
 def declared(html: Column) -> Column:
-    found = F.lower(F.regexp_extract(html, r"""(?i)<html[^>]*?\slang\s*=\s*["']?([a-z]{2})""", 1))
+    """The primary part of the language tag of the root element."""
+    found = F.lower(F.regexp_extract(html, r"""(?i)<html[^>]*?\slang\s*=\s*["']?([a-z]{2,3})(?![a-z0-9])""", 1))
     return F.when(found != "", found).otherwise(NONE)
 
 
@@ -198,6 +206,9 @@ def identify(pages: DataFrame, model: Model, key: str = "page_id", url: str = "u
     for one_row in (corpus, n_claims, n_suffixes):
         wide = wide.crossJoin(F.broadcast(one_row))
 
+    n_tasks = max(1, min(MOST_TASKS, scored.count() // PAGES_IN_TASK))  # by the files' footers
+    wide = wide.repartition(n_tasks)
+
     def at(name: str, i: Column) -> Column:
         """Votes for language i without the page's own."""
         return F.get(name, i) - F.coalesce(F.col("text_lang_no") == i, F.lit(False)).cast("double")
