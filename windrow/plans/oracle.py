@@ -344,6 +344,19 @@ ORACLE: dict[str, str] = {
         FROM ({EMBEDDING_EXAMPLES})""",
     "document_examples": DOCUMENT_EXAMPLES,
     "document_examples_by_expression": DOCUMENT_EXAMPLES,
+    "document_examples_by_index": DOCUMENT_EXAMPLES,
+    "token_numbers": f"""
+        SELECT token, (row_number() OVER (ORDER BY token) - 1)::INT AS no FROM (SELECT DISTINCT unnest({WORDS}) AS token FROM documents)""",
+    "document_index_blocks": f"""
+        WITH t AS (SELECT doc_id, unnest({WORDS}) AS token, unnest(range(len({WORDS}))) AS pos FROM documents),
+        numbers AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS no FROM (SELECT DISTINCT token FROM t)),
+        lent AS (
+            SELECT doc_id, pos, token, b * 2048 AS block_start FROM (
+                SELECT *, unnest(CASE WHEN pos >= 2048 AND pos % 2048 < 4 THEN [pos // 2048 - 1, pos // 2048] ELSE [pos // 2048] END) AS b
+                FROM t)
+        )
+        SELECT doc_id, block_start, md5(string_agg(no::VARCHAR, ',' ORDER BY pos)) AS items, count(*)::INT AS n_items
+        FROM lent JOIN numbers USING (token) GROUP BY doc_id, block_start""",
     "fit_features": f"SELECT doc_id, {as_text(fit(LENGTHS, 128))} AS features FROM documents",
     "fit_labels": f"""
         SELECT doc_id, 64 AS width, {as_text(fit("d", 64))} AS label FROM (

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windrow.functions import vectors as V
-from windrow.functions.hashing import hash_unit
+from windrow.functions.hashing import hash_unit, hash_vector
 from windrow.functions.text import duration_text, words
-from windrow.operators import checks, features, lookup, metrics, partitions, report, scoring, split, training
+from windrow.operators import checks, features, lookup, metrics, partitions, report, scoring, split, token_index, training
 from windrow.operators import parameters as P
 from windrow.operators.positions import dense_positions, running_total
 from windrow.operators.windows import windows_from_arrays, windows_from_rows
@@ -319,6 +319,33 @@ def document_examples_by_expression(spark: SparkSession, sf_dir: str) -> DataFra
     return found.select("doc_id", "start", digest.alias("features"), as_text("label").alias("label"))
 
 
+def _document_index(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Numbers of the documents' tokens, and blocks of them."""
+    tokens = document_tokens(spark, sf_dir)
+    numbers = token_index.number_tokens(tokens)
+    return numbers, token_index.index_blocks(tokens, numbers, WINDOW, ["doc_id"])
+
+
+def token_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_index.number_tokens(document_tokens(spark, sf_dir))
+
+
+def document_index_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of numbers, four bytes a token, as text."""
+    _, blocks = _document_index(spark, sf_dir)
+    items = F.array_join(F.col("items").cast("array<string>"), ",")
+    return blocks.select("doc_id", "block_start", F.md5(items.cast("binary")).alias("items"), F.size("items").alias("n_items"))
+
+
+def document_examples_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same examples through numbers and one vector for each distinct token."""
+    numbers, blocks = _document_index(spark, sf_dir)
+    matrix = token_index.store_matrix(numbers.select("no", hash_vector("token", MADE).alias("embedding")), MADE)
+    found = token_index.examples_of_index(blocks, matrix, WINDOW, ["doc_id"])
+    digest = F.md5(as_text("features").cast("binary"))
+    return found.select("doc_id", "start", digest.alias("features"), as_text("label").alias("label"))
+
+
 def fit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted = V.fit_width("features", 128)
     return word_lengths(spark, sf_dir).select("doc_id", as_text(fitted).alias("features"))
@@ -660,6 +687,9 @@ QUERIES: dict[str, Query] = {
         embedding_examples,
         document_examples,
         document_examples_by_expression,
+        document_examples_by_index,
+        document_index_blocks,
+        token_numbers,
         fit_features,
         fit_labels,
         split_documents,
