@@ -119,6 +119,14 @@ def part_of(keys: np.ndarray, bits: int, n_parts: int) -> np.ndarray:
     return ((high * np.uint64(n_parts)) >> np.uint64(32)).astype(np.int64)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct numbers, by sorting: ``np.unique`` of large integers hashes, which takes many times as long."""
+    if not len(values):
+        return values
+    found = np.sort(values)
+    return found[np.concatenate([[True], found[1:] != found[:-1]])]
+
+
 def pack_arrays(**arrays: np.ndarray | bytes) -> bytes:
     """Named arrays as bytes; sorted keys (``keys``) are stored as differences, by place of the byte."""
     columns, fields = [], []

@@ -169,7 +169,7 @@ class Sequence:
             hashes = keyed(grams(units, self.kind.gram))
             # The windows of the next segment overlap; its pieces are counted there.
             found.append(hashes[:SEGMENT] if a + SEGMENT <= self.n - self.kind.window else hashes)
-        every, keys = np.sort(np.concatenate(found)), np.unique(values)
+        every, keys = np.sort(np.concatenate(found)), C.distinct(values)
         return np.searchsorted(every, keys, side="right") - np.searchsorted(every, keys)
 
     def document(self, at: np.ndarray) -> np.ndarray:
@@ -217,7 +217,7 @@ def requests(kind: Kind, n_parts: int) -> Callable:
             sequence = Sequence(kind, C.rows_of(row["rows"]))
             _, _, values = sequence.runs()
             counts = np.minimum(sequence.times(values), HOT + 1).astype("<u2")
-            yield C.ask(np.unique(values), BITS, n_parts, row["chunk"], counts=counts)
+            yield C.ask(C.distinct(values), BITS, n_parts, row["chunk"], counts=counts)
 
     return run
 
@@ -240,7 +240,7 @@ class Candidates:
         kind = sequence.kind
         start, length, values = sequence.runs()
         classes = C.joined(answers, "u1")
-        keys = np.unique(values)
+        keys = C.distinct(values)
         of_run = classes[np.searchsorted(keys, values)] if len(keys) else np.zeros(0, np.uint8)
         asked = of_run > 0
         start, length, values, of_run = start[asked], length[asked], values[asked], of_run[asked]

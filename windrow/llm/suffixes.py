@@ -21,6 +21,7 @@ from windrow.llm import repeats as R
 WINDOW, GRAM = 50, 24
 #: Bytes by which suffixes are told apart in one round of sorting.
 STEP = 5
+PLACE_BITS = 23
 
 
 def suffix_order(data: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -34,8 +35,11 @@ def suffix_order(data: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarr
         base, text = rank[open_], np.zeros(len(open_), np.int64)
         for k in range(done, min(done + STEP, depth)):
             text = text << 8 | data[at[open_] + k]
-        small = len(at) < 1 << 23  # rank and bytes fit into one number
-        order = np.argsort(base << 40 | text, kind="stable") if small else np.lexsort((text, base))
+        small = len(at) < 1 << PLACE_BITS  # rank and bytes fit into one number, bytes and place, too
+        if small and not done:
+            order = np.sort(text << PLACE_BITS | open_) & (1 << PLACE_BITS) - 1
+        else:
+            order = np.argsort(base << 40 | text) if small else np.lexsort((text, base))
         base, text = base[order], text[order]
         # A rank is the number of suffixes before: those of smaller groups, and of smaller bytes in the own one.
         group = np.concatenate([[True], base[1:] != base[:-1]])
@@ -48,6 +52,9 @@ def suffix_order(data: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarr
         open_ = open_[order[np.repeat(size > 1, size)]]
         if not len(open_):
             break
+    n = len(at)
+    if n < 1 << 31:
+        return np.sort(rank << 31 | np.arange(n)) & (1 << 31) - 1, rank
     return np.argsort(rank, kind="stable"), rank
 
 
@@ -68,14 +75,16 @@ def nearest_smaller(position: np.ndarray) -> np.ndarray:
 
 def longest_previous(data: np.ndarray, at: np.ndarray, document: np.ndarray, depth: int) -> np.ndarray:
     """Length, up to ``depth``, of the longest match of each suffix in a smaller document."""
-    order, _ = suffix_order(data, at, depth)
-    place, position = at[order], document[order]
+    order, rank = suffix_order(data, at, depth)
+    place, position, rank = at[order], document[order], rank[order]
     longest = np.zeros(len(at), np.int64)
     n = len(order)
     for previous in (nearest_smaller(position), n - 1 - nearest_smaller(position[::-1])[::-1]):
         has = np.flatnonzero((previous >= 0) & (previous < n))
-        length = np.zeros(len(has), np.int64)
-        on = np.arange(len(has))
+        # Suffixes of one rank are equal as far as they were sorted; only others are compared.
+        equal = rank[has] == rank[previous[has]]
+        length = np.where(equal, depth, 0)
+        on = np.flatnonzero(~equal)
         for k in range(depth):
             on = on[data[place[has[on]] + k] == data[place[previous[has[on]]] + k]]
             length[on] = k + 1
