@@ -82,7 +82,7 @@ def run_job(
         summary = run_metrics(stored["epochs"], run.batch_metrics, run.parameters, stored["partitions"])
         summary = _stored(summary, f"{folder}/summary")
         report_path = write_report(report_lines(stored["epochs"], summary), metrics_folder)
-        model_path = write_model(run.parameters, model_folder)
+        model_path = write_model(run.parameters, model_folder, epoch=settings.epochs)
     finally:
         data.unpersist()
     return JobResult(run, summary, stored["log"], model_path, report_path, stored["splits"], stored["partitions"])
