@@ -71,8 +71,8 @@ def remove_repeats(
     comes first), or an earlier start in the same document. Windows are judged on the input.
     ``kept`` has the words that stay, joined by single spaces; a null or empty text, or one without
     a word, gives an empty one. Rows that repeat a key are one document twice: what starts at the
-    same place of both is not earlier in either. An empty table gives no rows. Columns besides key
-    and text take no part.
+    same place of both is not earlier in either. Keys are whole numbers, or texts of such. An empty table
+    gives no rows. Columns besides key and text take no part.
     """
 
     def result(sequence: R.Sequence, rows: pa.Table, removed: np.ndarray) -> Iterator[pa.RecordBatch]:

@@ -149,7 +149,8 @@ def remove_repeats(
     ``kept`` is binary, as a cut can part a character; with ``whole_characters`` all bytes of such a
     character go, so that ``kept`` is UTF-8 again. ``n_spans`` counts the runs removed. A null
     or empty text gives no bytes. Rows that repeat a key are one document and no copies of each
-    other. An empty table gives no rows. Columns besides key, text and carried ones take no part.
+    other. Keys are whole numbers, or texts of such. An empty table gives no rows. Columns besides key,
+    text and carried ones take no part.
     """
 
     def result(sequence: R.Sequence, rows: pa.Table, removed: np.ndarray) -> Iterator[pa.RecordBatch]:
