@@ -144,10 +144,26 @@ def test_mixing_reaches_its_targets(spark, none):
     assert shares[None] == pytest.approx(own) and shares["en"] / shares["fr"] == pytest.approx(2)
     tokens = {r[0]: r[1] for r in found.where("sampled").groupBy("lang").agg(F.sum("n_tokens")).collect()}
     assert tokens["en"] / sum(tokens.values()) == pytest.approx(shares["en"], abs=0.08)
+    assert found.agg(F.max("remaining")).first()[0] <= mixing.TOLERANCE
+    # Targets that contradict each other: languages that each have one source only.
+    clash = spark.createDataFrame([(1, "a", "en", 10), (2, "b", "fr", 10)], "doc_id bigint, source string, lang string, n_tokens bigint")
+    against = {"source": lambda c: mixing.fixed(c, {"a": 0.9, "b": 0.1}), "lang": lambda c: mixing.fixed(c, {"en": 0.1, "fr": 0.9})}
+    assert mixing.mix(clash, against).first()["remaining"] > 0.1
     empty = none.select("doc_id", F.lit("a").alias("source"), F.lit("b").alias("lang"), F.lit(1).alias("n_tokens"))
     assert mixing.mix(empty, targets).count() == 0
 
 
+def test_many_copies_and_cells_without_tokens(spark):
+    table = spark.createDataFrame([(1, 200, "x"), (2, 64, "x"), (3, 0, "x"), (4, 65, None)], "doc_id bigint, copies bigint, copy string")
+    found = mixing.repeated(table.drop("copy")).groupBy("doc_id").agg(F.count("*"), F.countDistinct("copy"), F.min("copy"), F.max("copy"))
+    assert sorted(map(tuple, found.collect())) == [(1, 200, 200, 0, 199), (2, 64, 64, 0, 63), (4, 65, 65, 0, 64)]
+    cells = spark.createDataFrame([("a", 100.0, 1.0), ("b", 0.0, 7.0), ("c", 0.0, 0.2)], "source string, tokens double, weight double")
+    chances = {r["source"]: r["probability"] for r in mixing.expected_copies(cells, 0.5).collect()}
+    assert chances == {"a": 0.5, "b": 1.0, "c": 0.1}
+    none = mixing.expected_copies(cells.where("tokens = 0"), 0.5)
+    assert {r["probability"] for r in none.collect()} == {0.0}
+
+
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATES", 64)
     rng = np.random.default_rng(0)

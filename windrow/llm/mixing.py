@@ -2,25 +2,31 @@
 
 Documents are summed to cells, one for each combination of source, language and topic. Sweeps over
 the margins rake the cells' weights until the weighted tokens have the target shares in every
-margin. A document's chance of being sampled follows from its cell's weight and from a hash of its
-key, so the sample doesn't depend on the layout of the table. All steps are built-in expressions;
-the texts are read, but only cells and margins are shuffled.
+margin. A margin's window runs over cells, which are few beside any table of documents. A document's
+chance of being sampled follows from its cell's weight and from a hash of its key, so the sample
+doesn't depend on the layout of the table. All steps are built-in expressions; the texts are read,
+but only cells are shuffled.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windrow.functions.hashing import hash_unit
 from windrow.llm.text import WORD
 from windrow.session import run_folder
 
+log = logging.getLogger(__name__)
+
 #: Stands for a null category.
 NONE = "(none)"
-TOLERANCE, SWEEPS = 1e-8, 20
+TOLERANCE, SWEEPS = 1e-8, 50
+#: Sweeps that a job makes; the error is looked at after each of these.
+SWEEPS_TOGETHER = 5
 #: Copies of a document that one task makes.
 MOST_AT_ONCE = 64
 
@@ -95,37 +101,36 @@ def rake(
 
     A sweep fits one margin after the other. Sweeps end when no margin was farther off than
     ``tolerance`` (as a part of its target), or after ``sweeps`` of them where targets contradict
-    each other. Cells without tokens get the weight of their margins' factors as well. The total of
-    weighted tokens stays that of the tokens.
+    each other; ``remaining`` is how far off they ended. Cells without tokens get the weight of their
+    margins' factors as well. The total of weighted tokens stays that of the tokens.
     """
     spark = cells.sparkSession
     folder = run_folder(spark, "raking")
     total = cells.agg(F.sum("tokens")).first()[0] or 0.0
-    cells.withColumn("weight", F.lit(1.0)).withColumn("off", F.lit(1.0)).write.parquet(f"{folder}/0")
-    goals = {}
-    for margin, shares in targets.items():
-        margin_targets(cells, margin, shares).write.parquet(f"{folder}/target-{margin}")
-        goals[margin] = spark.read.parquet(f"{folder}/target-{margin}")
+    # Targets are columns of the cells, so that a sweep needs no join.
+    rows = cells.withColumn("weight", F.lit(1.0)).withColumn("off", F.lit(1.0))
+    for i, (margin, shares) in enumerate(targets.items()):
+        goal = margin_targets(cells, margin, shares).select(F.col("category").alias("_category"), F.col("share").alias(f"_share{i}"))
+        rows = rows.join(goal, F.col(margin) == F.col("_category"), "left").drop("_category")
+    rows.write.parquet(f"{folder}/0")
     number, off = 0, 1.0
     while off > tolerance and number < sweeps and total > 0:
-        rows = spark.read.parquet(f"{folder}/{number}").withColumn("off", F.lit(0.0))
-        for margin, goal in goals.items():
-            held = F.sum(F.col("tokens") * F.col("weight"))
-            sums = rows.groupBy(margin).agg(held.alias("_held"))
-            factors = sums.join(goal, sums[margin].eqNullSafe(goal["category"]), "left").select(
-                F.col(margin).alias("_category"),
-                F.coalesce(F.try_divide(F.col("share") * F.lit(total), "_held"), F.lit(1.0)).alias("_factor"),
-            )
-            rows = (
-                rows.join(factors, F.col(margin) == F.col("_category"))
-                .withColumn("weight", F.col("weight") * F.col("_factor"))
-                .withColumn("off", F.greatest("off", F.abs(F.col("_factor") - 1)))
-                .drop("_category", "_factor")
-            )
-        number += 1
+        rows = spark.read.parquet(f"{folder}/{number}")
+        for _ in range(min(SWEEPS_TOGETHER, sweeps - number)):
+            number += 1
+            rows = rows.withColumn("off", F.lit(0.0))
+            for i, margin in enumerate(targets):
+                held = F.sum(F.col("tokens") * F.col("weight")).over(Window.partitionBy(margin))
+                factor = F.coalesce(F.try_divide(F.col(f"_share{i}") * F.lit(total), held), F.lit(1.0))
+                rows = rows.withColumn("_factor", factor).withColumns({
+                    "weight": F.col("weight") * F.col("_factor"), "off": F.greatest("off", F.abs(F.col("_factor") - 1)),
+                }).drop("_factor")
         rows.write.parquet(f"{folder}/{number}")
         off = spark.read.parquet(f"{folder}/{number}").agg(F.max("off")).first()[0] or 0.0
-    return spark.read.parquet(f"{folder}/{number}").drop("off")
+    if total > 0 and off > tolerance:
+        log.warning("after %d sweeps a margin is still off its target by %g of it", number, off)
+    found = spark.read.parquet(f"{folder}/{number}").select(*cells.columns, "weight")
+    return found.withColumn("remaining", F.lit(float(off) if total > 0 else 0.0))
 
 
 def probabilities(cells: DataFrame) -> DataFrame:
@@ -150,12 +155,12 @@ def expected_copies(cells: DataFrame, budget: float) -> DataFrame:
 
 
 def with_probability(documents: DataFrame, cells: DataFrame, margins: Sequence[str]) -> DataFrame:
-    """The documents with ``weight`` and ``probability`` of their cell.
+    """The documents with ``weight`` and ``probability`` of their cell, and the fit's ``remaining`` error.
 
     Cells are few; Spark broadcasts them as long as their file's size allows, and else shuffles.
     """
     names = {m: f"_cell_{i}" for i, m in enumerate(margins)}
-    right = cells.select(*[F.col(m).alias(n) for m, n in names.items()], "weight", "probability")
+    right = cells.select(*[F.col(m).alias(n) for m, n in names.items()], "weight", "probability", "remaining")
     on = [category(documents[m]) == right[n] for m, n in names.items()]
     return documents.join(right, on, "left").drop(*names.values())
 
@@ -192,7 +197,7 @@ def mix(
     tolerance: float = TOLERANCE,
     budget: float | None = None,
 ) -> DataFrame:
-    """The documents with ``weight, probability, sampled``; margins are the keys of ``targets``.
+    """The documents with ``weight, probability, remaining, sampled``; margins are the keys of ``targets``.
 
     Without a ``budget``, the cell with the largest weight is kept whole and sets the rate of all others.
     With one, the sample's tokens are expected to be ``budget`` times the table's, whatever single cells
@@ -201,9 +206,9 @@ def mix(
     A target gets the table of cells and gives ``category, share``; see ``smoothed`` and ``fixed``.
     Null categories are one category, ``(none)``. Null token counts are zero. Repeated rows share one
     decision if they share a key. An empty table gives no rows. Columns that are no margins, key or
-    token count pass through; ``weight``, ``probability`` and ``sampled`` are replaced if there.
+    token count pass through; ``weight``, ``probability``, ``remaining`` and ``sampled`` are replaced if there.
     """
-    documents = documents.drop("weight", "probability", "sampled", *([] if budget is None else ["copies"]))
+    documents = documents.drop("weight", "probability", "remaining", "sampled", *([] if budget is None else ["copies"]))
     margins = list(targets)
     spark = documents.sparkSession
     folder = run_folder(spark, "mixing")

@@ -68,7 +68,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select(
         "doc_id", "source", "lang", mixing.genre("text").alias("topic"), mixing.word_count("text").alias("n_tokens")
     )
-    found = mixing.mix(rows, MIXTURE)
+    found = mixing.mix(rows, MIXTURE).drop("remaining")
     return found.withColumns({c: F.round(c, 6) for c in ("weight", "probability")})
 
 
