@@ -4,13 +4,14 @@ From the longest n-grams down, every chunk asks once for its distinct n-grams of
 Each range of hashes meets in one task, which adds up the counts, stores them as sorted hash arrays,
 memory-maps those and answers the chunks from them. One of the chunks that know an n-gram, its
 owner, passes on what the next order counts: distinct predecessors, and the statistics of contexts.
-So all counts are exact, nothing is as large as the whole model in any task, and a frequent word
-costs no more than a rare one. Chunks then score their texts with what they were answered; the
-stored arrays score other documents later.
+So counts are exact but for n-grams that share a hash of 56 bits, which isn't verified; nothing is as
+large as the whole model in any task, and a frequent word costs no more than a rare one. Chunks then
+score their texts with what they were answered; the stored arrays score other documents later.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 from collections.abc import Iterator, Sequence
@@ -61,6 +62,18 @@ class Model:
         return np.array(found)
 
 
+class _Made(dict):
+    """By order, made when first asked for: a pass over the chunks needs two orders, not all."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, m: int):
+        self[m] = self.make(m)
+        return self[m]
+
+
 class Tokens:
     """The tokens of a chunk, each document behind ``order - 1`` begin marks, with hashes of n-grams."""
 
@@ -78,22 +91,41 @@ class Tokens:
         begin = np.cumsum(self.length) - self.length
         self.depth = np.arange(len(ids)) - begin[self.document]
         self.predicted = self.depth >= order - 1
-        self.first_is_begin = {}
-        self.keys, self.index = {}, {}
-        gram = hashes[ids]
-        unit = gram
-        for m in range(1, order + 1):
-            if m > 1:
-                mixed = np.roll(gram, 1) * A + unit
+        self.order, self._ids, self._words, self._grams = order, ids, hashes, {1: hashes[ids]}
+        self._found = _Made(self._distinct)
+        self.keys, self.index = _Made(lambda m: self._found[m][0]), _Made(lambda m: self._found[m][1])
+        self.first_is_begin = _Made(self._begins)
+
+    def _hashes(self, m: int) -> np.ndarray:
+        for k in range(2, m + 1):
+            if k not in self._grams:
+                mixed = np.roll(self._grams[k - 1], 1) * A + self._grams[1]
                 mixed ^= mixed >> np.uint64(29)
                 mixed *= B
-                gram = mixed ^ (mixed >> np.uint64(32))
-            # Places whose n-gram lies in one document; the others point to a key that isn't used.
-            valid = self.depth >= m - 1
-            key = np.where(valid, gram >> np.uint64(64 - BITS), 0)
-            self.keys[m], self.index[m] = np.unique(key, return_inverse=True)
-            self.first_is_begin[m] = np.zeros(len(self.keys[m]), bool)
-            self.first_is_begin[m][self.index[m][valid & (self.depth - (m - 1) < order - 1)]] = True
+                self._grams[k] = mixed ^ (mixed >> np.uint64(32))
+        return self._grams[m]
+
+    def _distinct(self, m: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys of an order, and each place's number among them.
+
+        Places whose n-gram crosses the begin of a document point to a key that isn't used.
+        """
+        shift = np.uint64(64 - BITS)
+        if m == 1:
+            # Words are numbered already; those that occur are few.
+            used = np.flatnonzero(np.bincount(self._ids, minlength=len(self._words))) if len(self._ids) else np.zeros(0, int)
+            keys, place = np.unique(self._words[used] >> shift, return_inverse=True)
+            number = np.zeros(len(self._words), np.int64)
+            number[used] = place
+            return keys, number[self._ids]
+        valid = self.depth >= m - 1
+        return np.unique(np.where(valid, self._hashes(m) >> shift, 0), return_inverse=True)
+
+    def _begins(self, m: int) -> np.ndarray:
+        found = np.zeros(len(self.keys[m]), bool)
+        first = (self.depth >= m - 1) & (self.depth - (m - 1) < self.order - 1)
+        found[self.index[m][first]] = True
+        return found
 
     def trained(self, rows: pa.Table, name: str) -> np.ndarray:
         """The token is predicted, and its document learnt from."""
@@ -105,6 +137,11 @@ class Tokens:
         return np.bincount(at, weights=weights, minlength=len(self.keys[m])).astype("<u8")
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes as the largest needs."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
 def _answered(answers: list[dict] | None, names: Sequence[str]) -> dict[str, np.ndarray]:
     parts = [C.unpack_arrays(a["data"]) for a in answers or []]
     return {k: np.concatenate([np.zeros(0, "<u8"), *(p[k] for p in parts)]) for k in names}
@@ -140,6 +177,7 @@ def _questions(m: int, order: int, n_parts: int, learning: bool):
                         values[name] = tokens.sums(m, context[of])
                     if m == 1:
                         values["plain"] = plain
+            values = {name: _narrow(value) for name, value in values.items()}
             yield C.ask(tokens.keys[m], BITS, n_parts, row["chunk"], **values)
 
     return run
@@ -178,7 +216,7 @@ def _level(m: int, order: int):
         if not stored and (not asked or "count" not in asked[0][1]):
             stored = [{"keys": np.zeros(0, np.uint64)} | {f: np.zeros(0, "<u8") for f in fields}]
         if stored:
-            arrays = {k: stored[0][k] for k in ("keys", *fields)}
+            arrays = {"keys": stored[0]["keys"]} | {k: stored[0][k].astype("<u8") for k in fields}
         else:
             keys, index = np.unique(np.concatenate([a["keys"] for _, a in asked]), return_inverse=True)
             arrays = {"keys": keys}
@@ -189,7 +227,8 @@ def _level(m: int, order: int):
             # A key that no document learnt from asked for is no part of the model.
             used = np.any([arrays[name] > 0 for name in fields], axis=0)
             arrays = {k: v[used] for k, v in arrays.items()}
-            yield out("model", STORED, C.pack_arrays(**arrays))
+            narrow = {name: _narrow(arrays[name]) for name in fields}
+            yield out("model", STORED, C.pack_arrays(keys=arrays["keys"], **narrow))
             count = arrays["count"][arrays["count"] > 0]
             figures = [*(int((count == i).sum()) for i in (1, 2, 3, 4)), len(count), int(count.sum()), int((count > 2).sum())]
             plain = arrays.get("plain", np.zeros(0, "<u8"))
@@ -207,7 +246,7 @@ def _level(m: int, order: int):
             first[first] = ~owned[at[first]]
             owned[at[first]] = True
             own[first] = 1
-            yield out("answer", chunk, C.pack_arrays(**found, own=own))
+            yield out("answer", chunk, C.pack_arrays(**{k: _narrow(v) for k, v in found.items()}, own=own))
 
     return run
 
@@ -263,6 +302,10 @@ def _run_level(asking: DataFrame, m: int, order: int, n_parts: int, folder: str,
         messages = messages.unionByName(stored.select("part", F.lit(STORED).cast("bigint").alias("chunk"), "data"))
     path = f"{folder}/order={m}"
     C.meet(messages, n_parts, _level(m, order), LEVEL_SCHEMA).write.partitionBy("kind").parquet(path)
+    # The level is stored: Spark drops its shuffle's files when the plan is collected, which may be much later by itself.
+    del messages
+    gc.collect()
+    asking.sparkSession.sparkContext._jvm.System.gc()
     return asking.sparkSession.read.schema(LEVEL_SCHEMA).parquet(path)
 
 
@@ -279,7 +322,8 @@ def _finish(chunks: C.Chunks, levels: dict[int, DataFrame], model: Model, key: s
     answered = C.with_answers(chunks, *[_answers(levels[m]) for m in range(1, model.order + 1)])
     schema = f"_key {key_type}, learnt boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     found = answered.mapInArrow(_scores(model), schema).withColumnRenamed("_key", key)
-    return found.withColumn("train_tokens", F.lit(model.tokens).cast("bigint"))
+    perplexity = F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens"))
+    return found.withColumn("train_tokens", F.lit(model.tokens).cast("bigint")).withColumn("perplexity", perplexity)
 
 
 def learn_and_score(
@@ -292,8 +336,9 @@ def learn_and_score(
 ) -> tuple[DataFrame, Model]:
     """Scores of all documents by a model of those with ``learn``, and the model.
 
-    ``key, learnt, n_tokens, n_known, base_score, score, train_tokens``: ``score`` is the log10
-    probability of the text's words and its end, ``base_score`` that of additively smoothed words.
+    ``key, learnt, n_tokens, n_known, base_score, score, train_tokens, perplexity``: ``score`` is the
+    log10 probability of the text's words and its end, ``base_score`` that of additively smoothed
+    words, ``perplexity`` the score's for each token. Keys are whole numbers, or texts of such.
     Words are cut at white space and lower-cased (A-Z). A null or empty text is an end alone. A null
     ``learn`` is false; with nothing to learn from, all words are equally unknown. Null keys stay,
     repeated rows are learnt and scored each; an empty table gives no rows. Other columns take no part.

@@ -52,7 +52,7 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     learn = digest % HELD_OUT != 0
     rows, _ = kneser_ney.learn_and_score(table(spark, sf_dir, "documents"), learn, order=LM_ORDER)
     return rows.select(
-        "doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+        "doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
     )
 
 
