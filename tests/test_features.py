@@ -36,6 +36,13 @@ def test_position_code(spark):
         V.position_code(F.lit(1), 3)
 
 
+@pytest.mark.parametrize("published", [False, True])
+def test_position_code_far_out(spark, published):
+    at = 1 << 40  # a power that is off in its last bit moves an angle by far more than the bound
+    want = code(at, 64, 1.0 if published else 2.0)
+    assert value(spark, V.position_code(F.lit(at), 64, published)) == pytest.approx(want, abs=1e-12)
+
+
 def test_window_codes_are_the_rows_of_position_codes(spark):
     flat = spark.range(1).select(V.window_codes(spark, 3, 4).alias("c")).first()["c"]
     rows = V.position_codes(spark, 3, 4).orderBy("position").collect()

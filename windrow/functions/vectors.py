@@ -18,18 +18,20 @@ def position_code(position: Column | str, width: int, published: bool = False) -
 
     Pair (j, j+1), j even, holds sin and cos of position / 10000^(2j/width). The usual published
     form (Vaswani et al. 2017) has half that exponent: ask for it with ``published=True``.
+    The powers are constants of the width, made here: Spark's own are off in their last bit, which
+    at a position of a million moves an angle by 1e-10.
     """
     if width < 2 or width % 2:
         raise ValueError(f"position codes need an even width, got {width}")
     per_slot = 1.0 if published else 2.0
     at = _col(position).cast("double")
+    powers = F.array(*[F.lit(POSITION_BASE ** (per_slot * (j - j % 2) / width)) for j in range(width)])
 
-    def slot(j: Column) -> Column:
-        even = j - j % 2
-        angle = at / F.pow(F.lit(POSITION_BASE), F.lit(per_slot) * even.cast("double") / F.lit(float(width)))
+    def slot(power: Column, j: Column) -> Column:
+        angle = at / power
         return F.when(j % 2 == 0, F.sin(angle)).otherwise(F.cos(angle))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), slot)
+    return F.transform(powers, slot)
 
 
 def position_codes(spark: SparkSession, slots: int, width: int, published: bool = False) -> DataFrame:
