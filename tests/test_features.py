@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from windrow.functions import vectors as V
-from windrow.functions.hashing import hash_unit, hash_vector
+from windrow.functions.hashing import hash_unit, hash_vector, hash_vectors
 from windrow.operators import arrow_examples, features, lookup
 from windrow.operators.windows import blocks_from_arrays
 
@@ -192,3 +192,11 @@ def test_a_repeated_lookup_token_is_an_error(spark):
     for call in (lambda: lookup.attach_vectors(tokens, twice), lambda: features.compact_from_lookup(tokens, twice, 1, 1)):
         with pytest.raises(ValueError, match="several vectors for token 'a'"):
             call()
+
+
+@pytest.mark.parametrize("width", [1, 4, 6])
+def test_vectors_made_in_tasks_are_those_of_the_expression(spark, width):
+    tokens = spark.createDataFrame([("a",), ("é:1",), ("",), ("a",), (None,)], "token string").coalesce(1)
+    found = tokens.select("token", hash_vectors("token", width).alias("made"), hash_vector("token", width).alias("want"))
+    for r in found.collect():
+        assert r["made"] == (None if r["token"] is None else r["want"])
