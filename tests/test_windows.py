@@ -90,3 +90,13 @@ def test_nulls_in_items_are_kept(spark):
 def test_bad_settings(spark, width, length):
     with pytest.raises(ValueError):
         windows_from_rows(token_rows(spark, ["a"]), width, "token", block_rows=length)
+
+
+def test_gathered_rows_keep_nulls_in_place_and_move_no_pairs(spark):
+    from windrow.operators.windows import blocks_from_rows
+
+    values = [None if i % 5 == 0 else f"t{i % 7}" for i in range(60)]
+    rows = spark.createDataFrame([("s", i, v) for i, v in enumerate(values)], "seq string, pos long, token string")
+    found = blocks_from_rows(rows.repartition(5), 3, "token", ["seq"], block_rows=16)
+    assert {r["block_start"]: r["items"] for r in found.collect()} == {b: values[b : b + 19] for b in range(0, 60, 16)}
+    assert "collect_list(struct" not in found._jdf.queryExecution().optimizedPlan().toString()

@@ -69,14 +69,23 @@ def gather_blocks(
 ) -> DataFrame:
     """``seq, block_start, items`` of assigned rows. No shuffle if they are already spread by block."""
     length = max(width, block_rows)
-    item = F.struct(F.col(pos).alias("p"), F.col(value).alias("v"))
+    # Places and values in lists of their own: a pair for each item would be shuffled with three more words. Lists
+    # leave nulls out, so the places of null values have a third one.
+    place, here = (F.col(pos) - F.col("_block") * length).cast("int"), F.col(value).isNotNull()
+    none = F.lit(None).cast(assigned.schema[value].dataType)
+    pairs = F.zip_with("_at", "_values", lambda p, v: F.struct(p.alias("p"), v.alias("v")))
+    empty = F.transform("_nulls", lambda p: F.struct(p.alias("p"), none.alias("v")))
     return (
         assigned.groupBy(*seq, "_block")
-        .agg(F.sort_array(F.collect_list(item)).alias("_items"))
+        .agg(
+            F.collect_list(F.when(here, place)).alias("_at"),
+            F.collect_list(value).alias("_values"),
+            F.collect_list(F.when(~here, place)).alias("_nulls"),
+        )
         .select(
             *seq,
             (F.col("_block") * length).alias("block_start"),
-            F.transform("_items", lambda x: x["v"]).alias("items"),
+            F.transform(F.sort_array(F.concat(pairs, empty)), lambda x: x["v"]).alias("items"),
         )
     )
 
