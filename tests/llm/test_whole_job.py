@@ -4,12 +4,13 @@ import os
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
-from windrow.llm import queries
+from windrow.llm import chunks, kneser_ney, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -37,3 +38,37 @@ def test_registered_language_model_has_trigrams(spark):
     found = queries.op3_lm_scoring(spark, SF_DIR).select("doc_id", "score").collect()
     want = sorted((w[0], w[5]) for w in brute.kneser_ney(learnt, 3))
     assert sorted(map(tuple, found)) == [pytest.approx(w, rel=1e-9) for w in want]
+
+
+def test_a_model_that_is_not_kept_takes_no_disk(spark):
+    rng = random.Random(3)
+    docs = spark.createDataFrame([(i, " ".join(words(rng, 60, 40))) for i in range(40)], "doc_id bigint, text string")
+    learn = F.col("doc_id") % 5 != 0
+    kept, model = kneser_ney.learn_and_score(docs, learn, order=3, chunk_bytes=3000)
+    found, none = kneser_ney.learn_and_score(docs, learn, order=3, chunk_bytes=3000, keep=False)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, kept.collect()))
+    kinds = [
+        {r["kind"] for m in (1, 2, 3) for r in spark.read.parquet(f"{x.folder}/order={m}").select("kind").collect()}
+        for x in (model, none)
+    ]
+    assert kinds == [{"model", "figures", "answer"}, {"figures", "answer"}]
+    with pytest.raises(ValueError):
+        kneser_ney.score(docs, none)
+
+
+def test_words_are_cut_and_lowered_as_bytes_are(spark):
+    texts = [" a  B\x0bc\n", "", "  ", "x\x1cY\x85z  W É", "Ab\tab\r\x0cAB", None, "ß"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found, _ = kneser_ney.learn_and_score(docs, F.lit(True), order=2, keep=False)
+    got = sorted(map(tuple, found.select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score").collect()))
+    want = brute.kneser_ney([(i, t, True) for i, t in enumerate(texts)], 2)
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert [g[4:] for g in got] == [pytest.approx(w[4:], rel=1e-9) for w in want]
+
+
+def test_order_of_numbers_that_differ_in_low_bits_only():
+    values = np.array([(1 << 63) + 3, 5, (1 << 63) + 1, 5, (1 << 63) + 2, 0, 5, (1 << 63) + 1], np.uint64)
+    assert chunks.in_order(values).tolist() == np.argsort(values, kind="stable").tolist()
+    spread = np.random.Generator(np.random.PCG64(1)).integers(0, 2**64, 5000, dtype=np.uint64)
+    values = np.concatenate([spread, spread[::-1]])
+    assert chunks.in_order(values).tolist() == np.argsort(values, kind="stable").tolist()

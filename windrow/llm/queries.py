@@ -50,7 +50,7 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A null id is held out."""
     digest = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     learn = digest % HELD_OUT != 0
-    rows, _ = kneser_ney.learn_and_score(table(spark, sf_dir, "documents"), learn, order=LM_ORDER)
+    rows, _ = kneser_ney.learn_and_score(table(spark, sf_dir, "documents"), learn, order=LM_ORDER, keep=False)
     return rows.select(
         "doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"
     )
