@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
-from windrow.llm import chunks, kneser_ney, queries
+from windrow.llm import chunks, kneser_ney, queries, repeats, suffixes
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -72,3 +72,24 @@ def test_order_of_numbers_that_differ_in_low_bits_only():
     spread = np.random.Generator(np.random.PCG64(1)).integers(0, 2**64, 5000, dtype=np.uint64)
     values = np.concatenate([spread, spread[::-1]])
     assert chunks.in_order(values).tolist() == np.argsort(values, kind="stable").tolist()
+
+
+def test_ranges_of_several_chunks():
+    """A message costs the same whatever it holds, so that a quarter of the ranges has a quarter of the messages."""
+    assert [chunks.parts_for(n) for n in (0, 1, 84, 420)] == [1, 1, 84, 320]
+    assert [chunks.parts_for(n, repeats.TOGETHER) for n in (0, 1, 84, 420, 25_600)] == [1, 1, 21, 105, 2560]
+
+
+def test_memory_goes_back_by_bytes_not_by_messages(monkeypatch):
+    calls = []
+    monkeypatch.setattr(chunks, "give_back", lambda: calls.append(1))
+    batch = chunks.messages(1, list(range(1000)), [b"x" * 2000] * 1000)
+    assert [row["part"] for row in chunks.each(iter([batch]))] == list(range(1000))
+    assert 1 <= len(calls) <= 3
+
+
+def test_matches_below_the_least_length_are_not_measured():
+    data = np.frombuffer(b"abcdeXabcdeYabcdf", np.uint8)
+    at, document = np.array([0, 6, 12]), np.array([1, 2, 3])
+    assert suffixes.longest_previous(data, at, document, 5).tolist() == [0, 5, 4]
+    assert suffixes.longest_previous(data, at, document, 5, 5).tolist() == [0, 5, 0]

@@ -118,12 +118,13 @@ def rows_of(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 
 
-def parts_for(n_chunks: int) -> int:
-    """Ranges of keys: as many as chunks, but growing as their root when there are very many.
+def parts_for(n_chunks: int, together: int = 1) -> int:
+    """Ranges of keys: one for every ``together`` chunks, but growing as their root when there are very many.
 
-    So neither the messages of a chunk nor the keys of a range get out of hand.
+    So neither the messages of a chunk nor the keys of a range get out of hand. A message costs some hundred
+    microseconds whatever it holds: where chunks ask little, a range takes what several of them ask.
     """
-    return max(1, min(n_chunks, 16 * math.isqrt(n_chunks)))
+    return max(1, min(-(-n_chunks // together), 16 * math.isqrt(n_chunks)))
 
 
 def part_of(keys: np.ndarray, bits: int, n_parts: int) -> np.ndarray:
@@ -169,7 +170,7 @@ def pack_arrays(**arrays: np.ndarray | bytes) -> bytes:
         fields.append((name, "keys" if name == "keys" else "bytes"))
         columns.append(value)
     head = ";".join(f"{n},{t},{len(c)}" for (n, t), c in zip(fields, columns)).encode()
-    return _codecs()[0].compress(len(head).to_bytes(4, "little") + head + b"".join(columns))
+    return packed(len(head).to_bytes(4, "little") + head + b"".join(columns))
 
 
 @functools.cache
@@ -178,8 +179,16 @@ def _codecs() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
     return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
+def packed(data: bytes) -> bytes:
+    return _codecs()[0].compress(data)
+
+
+def unpacked(data: bytes) -> bytes:
+    return _codecs()[1].decompress(data)
+
+
 def unpack_arrays(data: bytes) -> dict[str, np.ndarray | bytes]:
-    raw = _codecs()[1].decompress(data)
+    raw = unpacked(data)
     at = 4 + int.from_bytes(raw[:4], "little")
     found: dict[str, np.ndarray | bytes] = {}
     for field in raw[4:at].decode().split(";"):
@@ -261,5 +270,5 @@ def with_answers(chunks: Chunks, *given: DataFrame) -> DataFrame:
 
 def joined(answers: list[dict] | None, dtype: str) -> np.ndarray:
     """The answers of all parts as one array, in the order of the keys that were asked."""
-    parts = [np.frombuffer(zstandard.decompress(a["data"]), dtype) for a in answers or []]
+    parts = [np.frombuffer(unpacked(a["data"]), dtype) for a in answers or []]
     return np.concatenate([np.zeros(0, dtype), *parts])

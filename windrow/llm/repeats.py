@@ -17,13 +17,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 
 from windrow.llm import chunks as C
 
 BITS = 48
 HOT = 4096
+#: Chunks whose minimisers a range counts. Strings that may occur again are many times as much: a range takes one chunk's.
+TOGETHER = 4
 #: Positions that are hashed at a time: their arrays fit into a core's cache.
 SEGMENT = 1 << 16
 FIRST_KEY = np.iinfo(np.int64).min
@@ -229,7 +230,7 @@ def occurrences(part: int, messages: list[tuple[int, bytes]]) -> Iterator[pa.Rec
     total = np.bincount(index, weights=np.concatenate([m["counts"] for m in asked]), minlength=len(keys))
     classes = ((total > 1).astype(np.uint8) + (total > HOT))[index].astype(np.uint8)
     ends = np.cumsum([len(m["keys"]) for m in asked])
-    data = [zstandard.compress(c.tobytes(), 1) for c in np.split(classes, ends[:-1])]
+    data = [C.packed(c.tobytes()) for c in np.split(classes, ends[:-1])]
     yield C.answers(part, [chunk for chunk, _ in messages], data)
 
 
@@ -332,7 +333,7 @@ def buckets(compare: Callable[[Piece], np.ndarray]) -> Callable:
         pieces = Piece(*(np.concatenate([m[k] for m in sent]) for k in names), b"".join(m["data"] for m in sent))
         earlier = compare(pieces)
         ends = np.cumsum([int(m["n_windows"].sum()) for m in sent])
-        data = [zstandard.compress(e.astype(np.uint8).tobytes(), 1) for e in np.split(earlier, ends[:-1])]
+        data = [C.packed(e.astype(np.uint8).tobytes()) for e in np.split(earlier, ends[:-1])]
         yield C.answers(part, [chunk for chunk, _ in messages], data)
 
     return run
@@ -369,9 +370,9 @@ def remove(
 ) -> DataFrame:
     """``result(sequence, rows, removed)`` of every chunk."""
     chunks = C.to_chunks(documents, key, text, carry, chunk_bytes)
-    n_parts = C.parts_for(chunks.n_chunks)
-    asked = chunks.frame.mapInArrow(requests(kind, n_parts), C.MESSAGE_SCHEMA)
-    counted = C.meet(asked, n_parts, occurrences, C.ANSWER_SCHEMA)
+    n_parts, n_ranges = C.parts_for(chunks.n_chunks), C.parts_for(chunks.n_chunks, TOGETHER)
+    asked = chunks.frame.mapInArrow(requests(kind, n_ranges), C.MESSAGE_SCHEMA)
+    counted = C.meet(asked, n_ranges, occurrences, C.ANSWER_SCHEMA)
     spark = documents.sparkSession
     folder = C.run_folder(spark, "repeats")
     counted.write.parquet(f"{folder}/counted")

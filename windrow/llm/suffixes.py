@@ -73,8 +73,8 @@ def nearest_smaller(position: np.ndarray) -> np.ndarray:
     return found
 
 
-def longest_previous(data: np.ndarray, at: np.ndarray, document: np.ndarray, depth: int) -> np.ndarray:
-    """Length, up to ``depth``, of the longest match of each suffix in a smaller document."""
+def longest_previous(data: np.ndarray, at: np.ndarray, document: np.ndarray, depth: int, least: int = 0) -> np.ndarray:
+    """Length, up to ``depth``, of the longest match of each suffix in a smaller document; 0 if it is below ``least``."""
     order, rank = suffix_order(data, at, depth)
     place, position, rank = at[order], document[order], rank[order]
     longest = np.zeros(len(at), np.int64)
@@ -84,14 +84,15 @@ def longest_previous(data: np.ndarray, at: np.ndarray, document: np.ndarray, dep
         # Suffixes of one rank are equal as far as they were sorted; only others are compared.
         equal = rank[has] == rank[previous[has]]
         length = np.where(equal, depth, 0)
-        on = np.flatnonzero(~equal)
+        # Those of different ranks differ within the depth.
+        on = np.flatnonzero(~equal & (least < depth))
         for k in range(depth):
             on = on[data[place[has[on]] + k] == data[place[previous[has[on]]] + k]]
             length[on] = k + 1
             if not len(on):
                 break
         longest[order[has]] = np.maximum(longest[order[has]], length)
-    return longest
+    return np.where(longest >= least, longest, 0)
 
 
 def compare(window: int):
@@ -115,7 +116,7 @@ def compare(window: int):
         one[same] = np.arange(len(same))
         data = np.frombuffer(pieces.data, np.uint8)
         at = R.ragged(begin[one], n_windows[one])
-        hit = longest_previous(data, at, np.repeat(document, n_windows[one]), window) >= window
+        hit = longest_previous(data, at, np.repeat(document, n_windows[one]), window, window) >= window
         # Every piece has the bits of its content, and all of them if it is a later copy.
         first = np.cumsum(n_windows[one]) - n_windows[one]
         earlier = hit[R.ragged(first[same], n_windows)]
