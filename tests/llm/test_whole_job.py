@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
-from windrow.llm import chunks, kneser_ney, queries, repeats, suffixes
+from windrow.llm import chunks, kneser_ney, queries, repeats, suffixes, text
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -93,3 +93,13 @@ def test_matches_below_the_least_length_are_not_measured():
     at, document = np.array([0, 6, 12]), np.array([1, 2, 3])
     assert suffixes.longest_previous(data, at, document, 5).tolist() == [0, 5, 4]
     assert suffixes.longest_previous(data, at, document, 5, 5).tolist() == [0, 5, 0]
+
+
+def test_texts_as_a_list():
+    import pyarrow as pa
+
+    for texts in ([], [""], ["a", "", "bc"], ["é", "", "x😀", "ß"]):
+        array = pa.array(["zé", *texts, "ü"], pa.string())
+        assert text.listed(array) == ["zé", *texts, "ü"] and text.listed(array.slice(1, len(texts))) == texts
+    with pytest.raises(ValueError):
+        text.listed(pa.array(["a", None]))

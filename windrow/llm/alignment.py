@@ -26,6 +26,7 @@ from windrow.llm.bpe import Codec, codec_of
 from windrow.llm.sentence_pieces import (
     Pieces, batches_of, cut, from_planes, packed_rows, pieces_of, planes, stored_blocks,
 )
+from windrow.llm.text import listed
 from windrow.session import ship_package
 
 #: Bytes of text that are aligned at a time; a longer text is a batch of its own.
@@ -44,11 +45,13 @@ class Batch:
     def __init__(self, texts: pa.Array, first: Codec, second: Pieces):
         self.n = len(texts)
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        whole = [f" {t}".encode() if t else b"" for t in texts.to_pylist()]
-        ids = first.encode([data.decode() for data in whole])
+        spaced = [f" {t}" if t else "" for t in texts.to_pylist()]
+        whole = [t.encode() for t in spaced]
+        ids = first.encode(spaced)
+        del spaced
         a, n_a = ids.flatten().to_numpy(), np.diff(ids.offsets.to_numpy())
         words, index, counts = cut(texts)
-        flat, count = second.segment(words.to_pylist())
+        flat, count = second.segment(listed(words))
         ends = np.concatenate([[0], np.cumsum(count[index])])
         start = np.cumsum(count) - count
         b = flat[np.repeat(start[index] - ends[:-1], count[index]) + np.arange(ends[-1])]

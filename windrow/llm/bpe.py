@@ -23,6 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from windrow.llm.chunks import give_back
+from windrow.llm.text import listed
 from windrow.session import ship_package
 
 #: Pieces of at most so many bytes are encoded in a forest.
@@ -258,7 +259,9 @@ class Codec:
             # What wasn't met since the last time is forgotten.
             self.before, self.remembered, self.remembered_bytes = self.remembered, {}, 0
         known, before = self.remembered, self.before
-        found = [known.get(word) or before.get(word) for word in words]
+        found = list(map(known.get, words))
+        if before:
+            found = [before.get(word) if ids is None else ids for word, ids in zip(words, found)]
         missing = [word for word, ids in zip(words, found) if ids is None]
         # One text of all missing words: a piece that begins with a space begins a word.
         pieces = self.PIECES.findall(" " + " ".join(missing)) if missing else []
@@ -276,7 +279,7 @@ class Codec:
         # Long ones are rare and would fill the memory.
         fresh = {w: ids for w, ids in zip(words, found) if w not in known and len(w) <= FOREST_LEAVES}
         known.update(fresh)
-        self.remembered_bytes += WORD_BYTES * len(fresh) + sum(len(w) + len(ids) for w, ids in fresh.items())
+        self.remembered_bytes += WORD_BYTES * len(fresh) + sum(map(len, fresh)) + sum(map(len, fresh.values()))
         return found
 
     def _singly(self, text: str) -> list[str | int]:
@@ -313,7 +316,7 @@ class Codec:
         pieces = list(set().union(*begun))
         ids_of = self._encode_pieces([p for p in pieces if isinstance(p, str)])
         ids_of |= {p: np.array([p], "<i4").tobytes() for p in pieces if isinstance(p, int)}
-        table = [*self._spaced(coded.dictionary.to_pylist()), *map(ids_of.__getitem__, pieces)]
+        table = [*self._spaced(listed(coded.dictionary)), *map(ids_of.__getitem__, pieces)]
         # The rows of the table that make each text.
         row = dict(zip(pieces, range(len(coded.dictionary), len(table))))
         order, at = [np.zeros(0, np.int64)], 0
